@@ -169,3 +169,30 @@ def basket_summary(baskets: DataFrame) -> DataFrame:
         one(["product_id"], "n_products"),
         one(["user_id", "product_id"], "n_pairs"),
     )
+
+
+def subset_statistics(rows: DataFrame, users: DataFrame) -> DataFrame:
+    """What is left of a table when only the given users are kept: users found and missing, rows, reduction."""
+    wanted = users.select("user_id").distinct()
+    per_user = rows.groupBy("user_id").agg(F.count("*").alias("n"))
+    both = per_user.join(wanted.withColumn("_w", F.lit(1)), "user_id", "full")
+    found = F.col("_w").isNotNull() & F.col("n").isNotNull()
+    totals = both.agg(
+        F.count("_w").alias("n_wanted"),
+        F.count_if(found).alias("n_found"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.sum(F.when(found, F.col("n"))), F.lit(0)).alias("n_kept"),
+    )
+    return totals.select(
+        "n_wanted",
+        "n_found",
+        (F.col("n_wanted") - F.col("n_found")).alias("n_missing"),
+        "n_rows",
+        "n_kept",
+        (100.0 * (1 - F.try_divide("n_kept", "n_rows"))).alias("reduction_pct"),
+        F.try_divide("n_kept", "n_found").alias("rows_per_user"),
+    )
+
+
+def subset(rows: DataFrame, users: DataFrame) -> DataFrame:
+    return rows.join(users.select("user_id").distinct(), "user_id", "left_semi")

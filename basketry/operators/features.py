@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketry.functions.positions import quantiles, rounded
 from basketry.operators.quality import require_columns
 
 # Column order of the candidate table.
@@ -98,12 +99,17 @@ def product_features(lines: DataFrame) -> DataFrame:
 
 
 def pair_features(lines: DataFrame) -> DataFrame:
-    """Eight features per (user, product) with recency and share of the user's history."""
+    """Eight features per (user, product) with recency and share of the user's history.
+
+    Lines without cart positions give the seven others.
+    """
+    has_cart = "add_to_cart_order" in lines.columns
+    cart = [F.avg("add_to_cart_order").alias("up_avg_add_to_cart")] if has_cart else []
     pairs = lines.groupBy("user_id", "product_id").agg(
         F.count("*").alias("up_times_bought"),
         F.max("order_number").alias("up_last_order_number"),
         F.min("order_number").alias("up_first_order_number"),
-        F.avg("add_to_cart_order").alias("up_avg_add_to_cart"),
+        *cart,
     )
     users = pairs.groupBy("user_id").agg(
         F.max("up_last_order_number").alias("u_last_prior_order"), F.sum("up_times_bought").alias("user_total_bought")
@@ -114,7 +120,7 @@ def pair_features(lines: DataFrame) -> DataFrame:
         "up_times_bought",
         "up_last_order_number",
         "up_first_order_number",
-        "up_avg_add_to_cart",
+        *(["up_avg_add_to_cart"] if has_cart else []),
         "u_last_prior_order",
         (F.col("u_last_prior_order") - F.col("up_last_order_number")).alias("up_recency"),
         "user_total_bought",
@@ -157,3 +163,20 @@ def part_of_day() -> dict[str, Column]:
     """Morning (before noon) and evening (from 6 pm) flags of the order hour."""
     hour = F.col("order_hour_of_day")
     return {"is_morning": (hour < 12).cast("int"), "is_evening": (hour >= 18).cast("int")}
+
+
+def purchase_rank(pairs: DataFrame, out: str = "purchase_rank") -> DataFrame:
+    """Dense rank of each product among its user's products, most bought first.
+
+    Ranks run over the distinct counts of a user, so a long history is not sorted in one task.
+    """
+    levels = pairs.select("user_id", "up_times_bought").distinct()
+    ranked = levels.withColumn(out, F.row_number().over(Window.partitionBy("user_id").orderBy(F.col("up_times_bought").desc())))
+    return pairs.join(ranked, ["user_id", "up_times_bought"])
+
+
+def minus_group_median(df: DataFrame, group: str, value: str, out: str) -> DataFrame:
+    """The value minus the exact median of its group."""
+    rounded_rows = df.withColumn("_rounded", rounded(value))
+    middle = quantiles(rounded_rows, "_rounded", {"_median": 0.5}, [group], slice_by=F.floor(F.col("_v") * 16))
+    return rounded_rows.join(middle, group).withColumn(out, F.col(value) - F.col("_median")).drop("_rounded", "_median")

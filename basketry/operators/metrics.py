@@ -167,8 +167,7 @@ def ranking_metrics(
             F.count(F.when(hit, F.lit(1))).alias(f"_hits{k}"),
             F.avg(F.when(hit, F.col("_precision"))).alias(f"_map{k}"),
         ]
-    first = F.min(F.when(F.col("_y") == 1, F.col("_r"))).alias("_first")
-    per_group = hits.groupBy(group).agg(*sums, first).join(totals, group)
+    per_group = hits.groupBy(group).agg(*sums).join(totals, group)
     zero = F.lit(0.0)
     out = [F.col(group), F.col("n_rows"), F.col("n_pos")]
     for k in ks:
@@ -181,10 +180,29 @@ def ranking_metrics(
             F.coalesce(F.try_divide(n_hits, F.col("n_pos")), zero).alias(f"recall_{k}"),
             (n_hits > 0).cast("double").alias(f"hitrate_{k}"),
         ]
-    out += [F.coalesce(F.lit(1.0) / F.col("_first"), zero).alias("mrr"), F.coalesce((F.col("_first") == 1).cast("double"), zero).alias("top1")]
     return per_group.select(*out)
 
 
+def first_hits(df: DataFrame, group: str = "order_id", item: str = "product_id", label: str = "label", score: str = "score") -> DataFrame:
+    """Rank of the first positive of each group, its reciprocal, and whether it comes first.
+
+    The rank is the number of rows ahead of the best positive, so no group is sorted.
+    """
+    rows = df.select(group, item, F.col(label).alias("_y"), rounded(score).alias("_s"))
+    best_score = rows.where("_y = 1").groupBy(group).agg(F.max("_s").alias("_best"))
+    ties = rows.where("_y = 1").join(best_score, group).where("_s = _best")
+    best = ties.groupBy(group).agg(F.max("_best").alias("_best"), F.min(item).alias("_item"))
+    ahead = (F.col("_s") > F.col("_best")) | ((F.col("_s") == F.col("_best")) & (F.col(item) < F.col("_item")))
+    placed = rows.join(best, group, "left").groupBy(group).agg(F.max("_best").alias("_best"), F.count_if(ahead).alias("_ahead"))
+    found = placed.select(group, F.when(F.col("_best").isNotNull(), F.col("_ahead") + 1).alias("first_rank"))
+    return found.select(
+        group,
+        "first_rank",
+        F.coalesce(F.lit(1.0) / F.col("first_rank"), F.lit(0.0)).alias("reciprocal_rank"),
+        F.coalesce((F.col("first_rank") == 1).cast("int"), F.lit(0)).alias("top1"),
+    )
+
+
 def metric_means(per_group: DataFrame, group: str = "order_id") -> DataFrame:
     """Number of groups and rows, and the mean of every metric column."""
     names = [c for c in per_group.columns if c not in (group, "n_rows", "n_pos")]
