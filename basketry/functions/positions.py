@@ -18,6 +18,7 @@ SCORE_DECIMALS = 9
 # With 9 decimals a slice of width 1e-4 holds at most 100,000 distinct scores.
 SCORE_SLICES_PER_UNIT = 10_000
 ID_SLICE = 100_000
+RANGE_SLICES = 4096
 
 _SLICE = "_slice"
 
@@ -85,10 +86,20 @@ def dense_index(df: DataFrame, id_col: str, out: str) -> DataFrame:
 def quantiles(df: DataFrame, value: str, probs: dict[str, float], group: Sequence[str] = (), slice_by: Column | None = None) -> DataFrame:
     """Exact interpolated quantiles, one row per group with one column per entry of ``probs``.
 
-    Works on the counts of distinct values; ``slice_by`` defaults to the slicing of rounded scores.
+    Works on the counts of the distinct values ``_v``. Without ``slice_by`` the range of each group is
+    cut into ``RANGE_SLICES`` equal slices.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*group, F.col(value).alias("_v")).agg(F.count("*").alias("n"))
-    cumulative = running_totals(counts, "_v", ["n"], score_slice("_v") if slice_by is None else slice_by, group)
+    if slice_by is None:
+        low, high = F.min("_v").alias("_low"), F.max("_v").alias("_high")
+        if group:
+            counts = counts.join(counts.groupBy(*group).agg(low, high), list(group))
+        else:
+            edges = counts.agg(low, high)
+            counts = counts.withColumns({c: edges.select(c).scalar() for c in ("_low", "_high")})
+        place = F.try_divide((F.col("_v") - F.col("_low")) * RANGE_SLICES, F.col("_high") - F.col("_low"))
+        slice_by = F.coalesce(F.floor(place), F.lit(0))
+    cumulative = running_totals(counts, "_v", ["n"], slice_by, group)
     totals = counts.groupBy(*group).agg(F.sum("n").alias("_total"))
     placed = cumulative.join(totals, list(group)) if group else cumulative.withColumn("_total", totals.select("_total").scalar())
 

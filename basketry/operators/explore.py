@@ -8,7 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketry.functions.positions import quantiles
 from basketry.functions.scalars import DAY_SHORT, GAP_BINS, day_name, log1p_floor0, right_closed_bin
+from basketry.operators.preprocess import unpivot
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -18,11 +20,7 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, sample std, min, quartiles and max per column.
-
-    For columns with few distinct values, as the order columns are: ``percentile`` keeps the counts
-    of the distinct values of a column.
-    """
+    """Count, mean, sample std, min, quartiles and max per column; the quartiles are exact."""
     wide = df.agg(
         *[
             F.struct(
@@ -31,15 +29,13 @@ def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                 F.avg(c).alias("mean"),
                 F.stddev_samp(c).alias("std"),
                 F.min(c).cast("double").alias("min"),
-                F.percentile(c, 0.25).alias("q25"),
-                F.percentile(c, 0.5).alias("median"),
-                F.percentile(c, 0.75).alias("q75"),
                 F.max(c).cast("double").alias("max"),
             ).alias(c)
             for c in columns
         ]
     )
-    return wide.select(F.inline(F.array(*columns)))
+    cuts = quantiles(unpivot(df, columns), "value", {"q25": 0.25, "median": 0.5, "q75": 0.75}, ["column_name"])
+    return wide.select(F.inline(F.array(*columns))).join(cuts, "column_name", "left")
 
 
 def cardinalities(lines: DataFrame, products: DataFrame) -> DataFrame:

@@ -43,54 +43,62 @@ def split(df: DataFrame, name: str) -> DataFrame:
     return df.where(F.col("eval_set") == name)
 
 
-def user_features(lines: DataFrame, order_grain: bool = False) -> DataFrame:
+def pair_totals(lines: DataFrame) -> DataFrame:
+    """Counts and sums per (user, product).
+
+    The user, product and pair features, the history and the interactions all follow from this table,
+    so the lines are shuffled for it once. Columns the lines lack are left out.
+    """
+    sums = [F.count("product_id").alias("n"), F.max("order_number").alias("last"), F.min("order_number").alias("first")]
+    for column, total, count in (("add_to_cart_order", "cart", "n_cart"), ("reordered", "re", "n_re")):
+        if column in lines.columns:
+            sums += [F.sum(column).alias(total), F.count(column).alias(count)]
+    return lines.groupBy("user_id", "product_id").agg(*sums)
+
+
+def user_features(lines: DataFrame, order_grain: bool = False, totals: DataFrame | None = None) -> DataFrame:
     """Seven features per user from line items that carry their order's columns.
 
     Gaps are averaged over line items, so a large basket weighs more; ``order_grain`` weighs every
-    order once. Distinct products and orders come from two-step aggregates instead of ``count
-    distinct``, which would copy each line once per distinct column.
+    order once. Distinct products and orders are counted on the two grouped tables instead of by
+    ``count distinct``, which would copy each line once per distinct column.
     """
     require_columns(lines, ["user_id", "order_id", "product_id", "order_number", "reordered", "days_since_prior_order"], "lines")
-    per_order = lines.groupBy("user_id", "order_id", "order_number", "days_since_prior_order").agg(
-        F.count("product_id").alias("n_items"), F.sum("reordered").alias("n_re"), F.count("reordered").alias("n_flag")
-    )
+    totals = pair_totals(lines) if totals is None else totals
+    per_order = lines.groupBy("user_id", "order_id", "order_number", "days_since_prior_order").agg(F.count("*").alias("n_items"))
     gap = F.col("days_since_prior_order").cast("double")
     weight = F.when(gap.isNotNull(), F.lit(1) if order_grain else F.col("n_items"))
     # Gaps are small whole days, so the sums below are exact and the variance loses no digits.
-    per_user = per_order.groupBy("user_id").agg(
+    by_order = per_order.groupBy("user_id").agg(
         F.max("order_number").alias("u_total_orders"),
-        F.sum("n_items").alias("u_total_items"),
         F.count("order_id").alias("n_orders"),
-        F.sum("n_re").alias("n_re"),
-        F.sum("n_flag").alias("n_flag"),
         F.sum(weight).alias("w"),
         F.sum(weight * gap).alias("wx"),
         F.sum(weight * gap * gap).alias("wxx"),
     )
-    distinct = lines.select("user_id", "product_id").distinct().groupBy("user_id").agg(F.count("product_id").alias("u_distinct_products"))
+    by_product = totals.groupBy("user_id").agg(
+        F.sum("n").alias("u_total_items"),
+        F.count("product_id").alias("u_distinct_products"),
+        F.sum("re").alias("re"),
+        F.sum("n_re").alias("n_re"),
+    )
     variance = (F.col("wxx") - F.col("wx") * F.col("wx") / F.col("w")) / (F.col("w") - 1)
-    return per_user.join(distinct, "user_id").select(
+    return by_order.join(by_product, "user_id").select(
         "user_id",
         "u_total_orders",
         "u_total_items",
         "u_distinct_products",
         (F.col("u_total_items") / F.col("n_orders")).alias("u_avg_basket_size"),
-        F.coalesce(F.try_divide("n_re", "n_flag"), F.lit(0.0)).alias("u_reorder_ratio"),
+        F.coalesce(F.try_divide("re", "n_re"), F.lit(0.0)).alias("u_reorder_ratio"),
         F.try_divide("wx", "w").alias("u_mean_days_between"),
         F.when(F.col("w") > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).alias("u_std_days_between"),
     )
 
 
-def product_features(lines: DataFrame) -> DataFrame:
-    """Four features per product; a first step per (product, user) splits the hot products."""
-    per_user = lines.groupBy("product_id", "user_id").agg(
-        F.count("*").alias("n"),
-        F.sum("add_to_cart_order").alias("cart"),
-        F.count("add_to_cart_order").alias("n_cart"),
-        F.sum("reordered").alias("re"),
-        F.count("reordered").alias("n_re"),
-    )
-    return per_user.groupBy("product_id").agg(
+def product_features(lines: DataFrame, totals: DataFrame | None = None) -> DataFrame:
+    """Four features per product, from the totals per (user, product), which split the hot products."""
+    totals = pair_totals(lines) if totals is None else totals
+    return totals.groupBy("product_id").agg(
         F.sum("n").alias("p_total_purchases"),
         F.count("user_id").alias("p_distinct_users"),
         F.try_divide(F.sum("cart"), F.sum("n_cart")).alias("p_avg_add_to_cart"),
@@ -98,33 +106,25 @@ def product_features(lines: DataFrame) -> DataFrame:
     )
 
 
-def pair_features(lines: DataFrame) -> DataFrame:
+def pair_features(lines: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """Eight features per (user, product) with recency and share of the user's history.
 
     Lines without cart positions give the seven others.
     """
-    has_cart = "add_to_cart_order" in lines.columns
-    cart = [F.avg("add_to_cart_order").alias("up_avg_add_to_cart")] if has_cart else []
-    pairs = lines.groupBy("user_id", "product_id").agg(
-        F.count("*").alias("up_times_bought"),
-        F.max("order_number").alias("up_last_order_number"),
-        F.min("order_number").alias("up_first_order_number"),
-        *cart,
-    )
-    users = pairs.groupBy("user_id").agg(
-        F.max("up_last_order_number").alias("u_last_prior_order"), F.sum("up_times_bought").alias("user_total_bought")
-    )
-    return pairs.join(users, "user_id").select(
+    totals = pair_totals(lines) if totals is None else totals
+    users = totals.groupBy("user_id").agg(F.max("last").alias("u_last_prior_order"), F.sum("n").alias("user_total_bought"))
+    cart = [F.try_divide("cart", "n_cart").alias("up_avg_add_to_cart")] if "cart" in totals.columns else []
+    return totals.join(users, "user_id").select(
         "user_id",
         "product_id",
-        "up_times_bought",
-        "up_last_order_number",
-        "up_first_order_number",
-        *(["up_avg_add_to_cart"] if has_cart else []),
+        F.col("n").alias("up_times_bought"),
+        F.col("last").alias("up_last_order_number"),
+        F.col("first").alias("up_first_order_number"),
+        *cart,
         "u_last_prior_order",
-        (F.col("u_last_prior_order") - F.col("up_last_order_number")).alias("up_recency"),
+        (F.col("u_last_prior_order") - F.col("last")).alias("up_recency"),
         "user_total_bought",
-        (F.col("up_times_bought") / F.col("user_total_bought")).alias("up_rate_in_user_history"),
+        (F.col("n") / F.col("user_total_bought")).alias("up_rate_in_user_history"),
     )
 
 

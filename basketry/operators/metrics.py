@@ -109,7 +109,7 @@ def calibration_curve(df: DataFrame, label: str = "label", score: str = "score",
     """Mean score and observed rate per quantile bin; empty bins are dropped."""
     scored = df.select(F.col(label).alias("y"), rounded(score).alias("p"))
     inner = {f"e{i}": i / n_bins for i in range(1, n_bins)}
-    edges = quantiles(scored, "p", inner).select(F.array(*inner).alias("edges")).scalar()
+    edges = quantiles(scored, "p", inner, slice_by=score_slice("_v")).select(F.array(*inner).alias("edges")).scalar()
     placed = scored.withColumn("edges", edges).withColumn("bin", F.size(F.filter("edges", lambda e: e < F.col("p"))).cast("bigint"))
     return placed.groupBy("bin").agg(F.count("*").alias("n"), F.avg("p").alias("mean_predicted"), F.avg("y").alias("observed_rate"))
 
@@ -147,15 +147,18 @@ def ranking_metrics(
     score: str = "score",
     ks: Sequence[int] = KS,
     empty_value: float = 0.0,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """All metrics per group and ``k``.
 
     Only the first ``max(ks)`` rows of a group and its number of positives are needed: with 0/1 labels
     the ideal DCG depends on that number alone. ``empty_value`` is the NDCG of a group without positives.
     ``recall_window`` divides by the positives inside the first k, ``recall`` by all of them.
+    ``keep`` names further columns that are constant within a group.
     """
     rows = df.select(group, item, F.col(label).alias("_y"), rounded(score).alias("_s"))
-    totals = rows.groupBy(group).agg(F.count("*").alias("n_rows"), F.sum("_y").alias("n_pos"))
+    kept = [F.max(c).alias(c) for c in keep]
+    totals = df.groupBy(group).agg(F.count("*").alias("n_rows"), F.sum(label).alias("n_pos"), *kept)
     top = top_k_per_group(rows, [group], [F.col("_s").desc(), F.col(item)], max(ks), "_r")
     upto = Window.partitionBy(group).orderBy("_r").rowsBetween(Window.unboundedPreceding, 0)
     hits = top.withColumn("_precision", F.sum("_y").over(upto) / F.col("_r"))
@@ -169,7 +172,7 @@ def ranking_metrics(
         ]
     per_group = hits.groupBy(group).agg(*sums).join(totals, group)
     zero = F.lit(0.0)
-    out = [F.col(group), F.col("n_rows"), F.col("n_pos")]
+    out = [F.col(group), F.col("n_rows"), F.col("n_pos"), *[F.col(c) for c in keep]]
     for k in ks:
         dcg, n_hits = F.coalesce(f"_dcg{k}", zero), F.col(f"_hits{k}")
         out += [
@@ -220,5 +223,5 @@ def metric_distribution(per_group: DataFrame, metric: str, hit: str) -> DataFram
         F.count_if(F.col("h") == 0).alias("n_missed"),
         F.avg("h").alias("hit_share"),
     )
-    cuts = quantiles(values, "v", {"q25": 0.25, "median": 0.5, "q75": 0.75}).select(F.struct("q25", "median", "q75").alias("q")).scalar()
+    cuts = quantiles(values, "v", {"q25": 0.25, "median": 0.5, "q75": 0.75}, slice_by=score_slice("_v")).select(F.struct("q25", "median", "q75").alias("q")).scalar()
     return spread.withColumn("q", cuts).select("n_groups", "mean", "std", "q.q25", "q.median", "q.q75", "n_hit", "n_missed", "hit_share")

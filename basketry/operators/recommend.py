@@ -20,6 +20,8 @@ from basketry.operators.quality import require_columns
 TITLE_NAMES = ["title", "product_name"]
 # End of the fixed values.
 
+RUN = 1024
+
 
 def neighbors_of_recent(recent: DataFrame, edges: DataFrame, n: int = 10, agg: str = "sum") -> DataFrame:
     """Candidates from each user's recent products: neighbor scores summed or maximised.
@@ -96,13 +98,24 @@ def _places(catalog: DataFrame, group: Sequence[str]) -> DataFrame:
     return grouped_position(keyed, group, F.floor(F.col("product_id") / ID_SLICE), [F.col("product_id")], "place")
 
 
+def _one_to(n: Column) -> Column:
+    """Numbers 1..n in runs of ``RUN``, to be exploded twice, so that no array grows with ``n``."""
+    return F.transform(F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / RUN)), lambda r: F.struct((r * RUN + 1).alias("low"), F.least((r + 1) * RUN, n).alias("high")))
+
+
+def _with_places(lists: DataFrame, n: Column) -> DataFrame:
+    """Each list row once per place 1..n."""
+    runs = lists.withColumn("_run", F.explode(_one_to(n)))
+    return runs.withColumn("place", F.explode(F.sequence("_run.low", "_run.high"))).drop("_run")
+
+
 def _first_outside(lists: DataFrame, placed: DataFrame, carts: DataFrame, on: Sequence[str], k: int, order: Sequence[Column]) -> DataFrame:
     """The first ``k`` products of each list that are not in its cart.
 
     ``lists`` holds (cart_id, on..., n_inside). At most ``n_inside`` places are taken by the cart, so
     the first ``k + n_inside`` places suffice; they are looked up by place, not by joining whole groups.
     """
-    wanted = lists.select("cart_id", *on, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n_inside") + k)).alias("place"))
+    wanted = _with_places(lists, F.col("n_inside") + k).select("cart_id", *on, "place")
     found = wanted.join(placed, [*on, "place"])
     kept = found.join(carts.select("cart_id", "product_id").distinct(), ["cart_id", "product_id"], "left_anti")
     return top_k_per_group(kept, ["cart_id"], order, k)
@@ -150,7 +163,7 @@ def fallback_same_department(views: DataFrame, carts: DataFrame, catalog: DataFr
     shelves = seen.select("cart_id", "department").distinct().join(inside, ["cart_id", "department"], "left")
     # One place more than k, as the viewed product itself may come first.
     reach = F.coalesce("n_inside", F.lit(0)) + k + 1
-    wanted = shelves.select("cart_id", "department", F.explode(F.sequence(F.lit(1).cast("bigint"), reach)).alias("place"))
+    wanted = _with_places(shelves, reach).select("cart_id", "department", "place")
     found = wanted.join(_places(catalog, ["department"]), ["department", "place"]).join(items, ["cart_id", "product_id"], "left_anti")
     short = top_k_per_group(found, ["cart_id", "department"], [F.col("place")], k + 1, "_at").select(
         "cart_id", "department", F.col("product_id").alias("similar_product_id"), "place"

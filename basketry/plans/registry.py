@@ -14,6 +14,7 @@ from basketry.operators import candidates as C
 from basketry.operators import features as X
 from basketry.operators import similarity as S
 from basketry.plans.oracle import oracle
+from basketry.session import materialize
 from basketry.sources.star import BasketTables, load_star
 
 FOLD = 100
@@ -56,11 +57,12 @@ class Inputs:
         last = X.split(self.natural.orders, "prior").groupBy("user_id").agg(F.max_by("order_id", "order_number").alias("order_id"))
         return last.join(self.natural.basket_lines, "order_id").select("user_id", "product_id")
 
-    def pair_scores(self) -> DataFrame:
+    def pair_scores(self, baskets: DataFrame | None = None, pairs: DataFrame | None = None) -> DataFrame:
         """Similarity aggregates of the history pairs; purchases / (1 + purchases) stands for the factor score."""
-        baskets = self.prior_baskets(self.folded)
-        pairs = X.interactions(baskets).select("user_id", "product_id", (F.col("count") / (1.0 + F.col("count"))).alias("als_score"))
-        return S.pair_similarity(pairs, X.history_pairs(baskets), self.edges(self.folded))
+        baskets = self.prior_baskets(self.folded) if baskets is None else baskets
+        pairs = X.interactions(baskets) if pairs is None else pairs
+        scored = pairs.select("user_id", "product_id", (F.col("count") / (1.0 + F.col("count"))).alias("als_score"))
+        return S.pair_similarity(scored, pairs, S.top_neighbors(baskets))
 
     def base(self, split: str) -> DataFrame:
         return C.candidate_base(self.folded.orders, self.folded.baskets, split)
@@ -71,11 +73,21 @@ class Inputs:
         return self.base(split).join(rates, ["user_id", "product_id"])
 
     def full(self, split: str) -> DataFrame:
-        """The candidate table with all features."""
-        lines = self.prior(self.folded)
-        with_similarity = C.attach_similarity(self.base(split), self.pair_scores())
-        joined = C.attach_features(with_similarity, X.user_features(lines), X.product_features(lines), X.pair_features(lines))
-        return C.ordered_columns(joined)
+        """The candidate table with all features.
+
+        The prior lines and their totals per (user, product) are written once; every feature reads the
+        columns it needs from these two tables.
+        """
+        lines = materialize(self.prior(self.folded), "prior-lines")
+        totals = materialize(X.pair_totals(lines), "pair-totals")
+        targets = X.split(self.folded.orders, split)
+        candidates = C.expand_candidates(targets, totals.select("user_id", "product_id"))
+        if split == "train":
+            candidates = C.attach_labels(candidates, X.split(self.folded.baskets, "train"))
+        pairs = totals.select("user_id", "product_id", F.col("n").alias("count"))
+        with_similarity = C.attach_similarity(candidates, self.pair_scores(lines, pairs))
+        features = [f(lines, totals=totals) for f in (X.user_features, X.product_features, X.pair_features)]
+        return C.ordered_columns(C.attach_features(with_similarity, *features))
 
 
 _INPUTS: dict[tuple[str, str], Inputs] = {}

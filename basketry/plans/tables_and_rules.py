@@ -414,6 +414,15 @@ def _(i: Inputs):
     return i.full("test")
 
 
+@query(
+    "j07_scalar_lookup",
+    "SELECT order_id, product_id, days_since_prior_order FROM b_facts",
+)
+def _(i: Inputs):
+    gaps = i.natural.orders.select("order_id", "days_since_prior_order")
+    return i.natural.basket_lines.select("order_id", "product_id").join(gaps, "order_id", "left")
+
+
 @query(
     "j08_w04_dense_indexes",
     """SELECT user_id, product_id, dense_rank() OVER (ORDER BY user_id) - 1 AS user_index, dense_rank() OVER (ORDER BY product_id) - 1 AS product_index, count(*) AS count

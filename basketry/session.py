@@ -50,7 +50,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to a reliable checkpoint so that later passes neither recompute it nor lose it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, label: str = "table") -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared folder and read it back.
+
+    This cuts the lineage: the table survives lost executors, and later passes read only the columns
+    they need instead of recomputing what led here.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,6 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketry.operators.candidates import FEATURE_COLUMNS, ID_COLUMNS
 from basketry.operators.preprocess import Preprocessing
 from basketry.operators.qda import QdaFit, QdaModel
 from basketry.operators.quality import SchemaError, require_columns
@@ -29,6 +30,24 @@ CSV_TABLES = {
 # Names under which similarity files may keep their columns, best first.
 NEIGHBOR_NAMES = ["neighbor_product_id", "neighbor_id", "product_id_2"]
 SCORE_NAMES = ["score", "similarity_score", "sim"]
+# Features that are whole numbers.
+WHOLE_FEATURES = [
+    "order_number",
+    "order_dow",
+    "order_hour_of_day",
+    "sim_nonzero_cnt",
+    "u_total_orders",
+    "u_total_items",
+    "u_distinct_products",
+    "p_total_purchases",
+    "p_distinct_users",
+    "up_times_bought",
+    "up_last_order_number",
+    "up_first_order_number",
+    "u_last_prior_order",
+    "up_recency",
+    "user_total_bought",
+]
 # End of the fixed values.
 
 
@@ -42,18 +61,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def _typed_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A candidate CSV with the types that its column names imply; only the header is looked at."""
+    names = spark.read.option("header", True).csv(path).columns
+    whole = [*ID_COLUMNS, "label", "rank", *[c for c in FEATURE_COLUMNS if c in WHOLE_FEATURES]]
+    schema = ", ".join(f"`{n}` {'string' if n == 'eval_set' else 'bigint' if n in whole else 'double'}" for n in names)
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
 def load_candidates(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """One table from one or many candidate files, CSV or Parquet; absent columns become null."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
         raise ValueError("no candidate file given")
-
-    def read(path: str) -> DataFrame:
-        if path.rstrip("/").endswith(".csv"):
-            return spark.read.option("header", True).option("inferSchema", True).csv(path)
-        return spark.read.parquet(path)
-
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [read(p) for p in paths])
+    read = [_typed_csv(spark, p) if p.rstrip("/").endswith(".csv") else spark.read.parquet(p) for p in paths]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), read)
 
 
 def load_preferred(spark: SparkSession, stem: str, ids: Sequence[str] = ("user_id", "order_id", "product_id")) -> DataFrame:
