@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.positions import ID_SLICE, grouped_position, rounded
@@ -87,9 +87,10 @@ def filtered_ranking(
 
 
 def department_ranks(catalog: DataFrame) -> DataFrame:
-    """Departments by number of products, largest first; equal ones by name."""
+    """Departments by number of products, largest first; equal ones by name. The window sees one row per department."""
     counts = catalog.groupBy("department").agg(F.count("*").alias("n_products"))
-    return grouped_position(counts, [], F.lit(0), [F.col("n_products").desc(), F.col("department")], "department_rank")
+    window = Window.orderBy(F.col("n_products").desc(), F.col("department"))
+    return counts.withColumn("department_rank", F.row_number().over(window).cast("bigint"))
 
 
 def _places(catalog: DataFrame, group: Sequence[str]) -> DataFrame:
