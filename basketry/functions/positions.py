@@ -2,7 +2,8 @@
 
 A plain window over a hot group sorts that group in a single task. Here rows are cut into *slices*
 that follow the sort order: one small aggregate counts the rows per slice, a window over those counts
-gives each slice its offset, and the detailed window runs per (group, slice) only.
+gives each slice its offset, and the detailed window runs per (group, slice) only. Where a check has shown
+that no group holds more than ``GROUP_LIMIT`` rows, the plain window is safe and saves those shuffles.
 """
 
 from __future__ import annotations
@@ -20,6 +21,9 @@ SCORE_SLICES_PER_UNIT = 10_000
 ID_SLICE = 100_000
 RANGE_SLICES = 4096
 
+# Groups up to this many rows may be handled whole by one task.
+GROUP_LIMIT = 1_000_000
+
 _SLICE = "_slice"
 
 
@@ -31,13 +35,27 @@ def score_slice(score: str) -> Column:
     return F.floor(F.col(score) * SCORE_SLICES_PER_UNIT)
 
 
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the largest group; a small aggregate that runs at once."""
+    return df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
+
+
 def grouped_position(
-    df: DataFrame, group: Sequence[str], slice_by: Column, order: Sequence[Column], out: str, descending: bool = False
+    df: DataFrame,
+    group: Sequence[str],
+    slice_by: Column,
+    order: Sequence[Column],
+    out: str,
+    descending: bool = False,
+    largest: int | None = None,
 ) -> DataFrame:
     """1-based position of every row in its group.
 
-    ``slice_by`` must never decrease along ``order`` (never increase if ``descending``).
+    ``slice_by`` must never decrease along ``order`` (never increase if ``descending``). ``largest`` is
+    the size of the largest group, if it is known.
     """
+    if group and largest is not None and largest <= GROUP_LIMIT:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("bigint"))
     sliced = df.withColumn(_SLICE, slice_by)
     keys = [*group, _SLICE]
     slice_order = F.col(_SLICE).desc() if descending else F.col(_SLICE)
@@ -59,7 +77,10 @@ def grouped_position(
 def running_totals(
     df: DataFrame, key: str, values: Sequence[str], slice_by: Column, group: Sequence[str] = (), descending: bool = False
 ) -> DataFrame:
-    """Add ``cum_<value>`` (sum up to and including ``key``) to rows that are unique per (group, key)."""
+    """Add ``cum_<value>`` (sum up to and including ``key``) and ``all_<value>`` (sum of the group).
+
+    Rows must be unique per (group, key).
+    """
     sliced = df.withColumn(_SLICE, slice_by)
     keys = [*group, _SLICE]
 
@@ -68,8 +89,13 @@ def running_totals(
 
     before = Window.partitionBy(*group).orderBy(way(_SLICE)).rowsBetween(Window.unboundedPreceding, -1)
     upto = Window.partitionBy(*keys).orderBy(way(key)).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*group)
     per_slice = sliced.groupBy(*keys).agg(*[F.sum(v).alias(f"_s_{v}") for v in values])
-    offsets = per_slice.select(*keys, *[F.coalesce(F.sum(f"_s_{v}").over(before), F.lit(0)).alias(f"_b_{v}") for v in values])
+    offsets = per_slice.select(
+        *keys,
+        *[F.coalesce(F.sum(f"_s_{v}").over(before), F.lit(0)).alias(f"_b_{v}") for v in values],
+        *[F.sum(f"_s_{v}").over(whole).alias(f"all_{v}") for v in values],
+    )
     joined = sliced.select("*", *[F.sum(v).over(upto).alias(f"_i_{v}") for v in values]).join(offsets, keys)
     for v in values:
         joined = joined.withColumn(f"cum_{v}", F.col(f"_b_{v}") + F.col(f"_i_{v}"))
@@ -95,26 +121,30 @@ def quantiles(df: DataFrame, value: str, probs: dict[str, float], group: Sequenc
         if group:
             counts = counts.join(counts.groupBy(*group).agg(low, high), list(group))
         else:
-            edges = counts.agg(low, high)
-            counts = counts.withColumns({c: edges.select(c).scalar() for c in ("_low", "_high")})
+            edges = counts.agg(F.struct(low, high).alias("e")).scalar()
+            counts = counts.withColumn("_e", edges).withColumns({c: F.col(f"_e.{c}") for c in ("_low", "_high")})
         place = F.try_divide((F.col("_v") - F.col("_low")) * RANGE_SLICES, F.col("_high") - F.col("_low"))
         slice_by = F.coalesce(F.floor(place), F.lit(0))
     cumulative = running_totals(counts, "_v", ["n"], slice_by, group)
-    totals = counts.groupBy(*group).agg(F.sum("n").alias("_total"))
-    placed = cumulative.join(totals, list(group)) if group else cumulative.withColumn("_total", totals.select("_total").scalar())
+    return cumulative.groupBy(*group).agg(*quantile_sums(probs)).select(*group, *quantile_values(probs))
 
-    def at(position: Column) -> Column:
-        holds = (F.col("cum_n") > position) & (F.col("cum_n") - F.col("n") <= position)
-        return F.max(F.when(holds, F.col("_v")))
 
+def quantile_sums(probs: dict[str, float]) -> list[Column]:
+    """Aggregates over distinct values ``_v`` with ``n``, ``cum_n`` and ``all_n``; see ``quantile_values``."""
     picks = []
     for name, p in probs.items():
-        place = (F.col("_total") - 1) * F.lit(float(p))
-        picks += [at(F.floor(place)).alias(f"_lo_{name}"), at(F.ceil(place)).alias(f"_hi_{name}")]
-    picked = placed.groupBy(*group).agg(*picks, F.max("_total").alias("_total"))
-    result = []
+        place = (F.col("all_n") - 1) * F.lit(float(p))
+        for end, position in (("lo", F.floor(place)), ("hi", F.ceil(place))):
+            holds = (F.col("cum_n") > position) & (F.col("cum_n") - F.col("n") <= position)
+            picks.append(F.max(F.when(holds, F.col("_v"))).alias(f"_{end}_{name}"))
+    return [*picks, F.max("all_n").alias("_total")]
+
+
+def quantile_values(probs: dict[str, float]) -> list[Column]:
+    """Interpolation between the two values that ``quantile_sums`` picked."""
+    values = []
     for name, p in probs.items():
         place = (F.col("_total") - 1) * F.lit(float(p))
         lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        result.append((lo + (hi - lo) * (place - F.floor(place))).alias(name))
-    return picked.select(*group, *result)
+        values.append((lo + (hi - lo) * (place - F.floor(place))).alias(name))
+    return values

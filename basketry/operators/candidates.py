@@ -18,11 +18,10 @@ FEATURE_COLUMNS = [*ORDER_COLUMNS, *SIMILARITY_COLUMNS, *USER_FEATURES, *PRODUCT
 def expand_candidates(targets: DataFrame, history: DataFrame) -> DataFrame:
     """Every target order with all products its user bought before.
 
-    The history is joined as a long table, not as a list. A user without history keeps one row with a
-    null product.
+    The history is a long table, not a list per user, and brings further columns along. A user without
+    history keeps one row with a null product.
     """
-    orders = targets.select("user_id", "order_id", *ORDER_COLUMNS)
-    return orders.join(history.select("user_id", "product_id"), "user_id", "left")
+    return targets.select("user_id", "order_id", *ORDER_COLUMNS).join(history, "user_id", "left")
 
 
 def attach_labels(candidates: DataFrame, target_lines: DataFrame) -> DataFrame:
@@ -39,10 +38,14 @@ def attach_similarity(candidates: DataFrame, pair_scores: DataFrame) -> DataFram
     return joined.withColumns({**fill, "sim_nonzero_cnt": F.coalesce("sim_nonzero_cnt", F.lit(0)).cast("bigint")})
 
 
-def attach_features(candidates: DataFrame, users: DataFrame, products: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Star join of the three feature tables; numeric gaps become 0, also the gap of a first order."""
-    joined = candidates.join(pairs, ["user_id", "product_id"], "left").join(users, "user_id", "left").join(products, "product_id", "left")
-    filled = [c for c in [*ORDER_COLUMNS, *USER_FEATURES, *PRODUCT_FEATURES, *PAIR_FEATURES] if c in joined.columns]
+def attach_features(candidates: DataFrame, users: DataFrame, products: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """Star join of the feature tables; numeric gaps become 0, also the gap of a first order.
+
+    ``pairs`` is left out if the history brought its columns along.
+    """
+    joined = candidates if pairs is None else candidates.join(pairs, ["user_id", "product_id"], "left")
+    joined = joined.join(users, "user_id", "left").join(products, "product_id", "left")
+    filled = [c for c in FEATURE_COLUMNS if c in joined.columns]
     return joined.na.fill(0, filled)
 
 

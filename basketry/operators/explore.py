@@ -20,22 +20,16 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, sample std, min, quartiles and max per column; the quartiles are exact."""
-    wide = df.agg(
-        *[
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.count(c).alias("n"),
-                F.avg(c).alias("mean"),
-                F.stddev_samp(c).alias("std"),
-                F.min(c).cast("double").alias("min"),
-                F.max(c).cast("double").alias("max"),
-            ).alias(c)
-            for c in columns
-        ]
+    """Count, mean, sample std, min, exact quartiles and max per column."""
+    cells = unpivot(df, columns)
+    sums = cells.groupBy("column_name").agg(
+        F.count("value").alias("n"),
+        F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
     )
-    cuts = quantiles(unpivot(df, columns), "value", {"q25": 0.25, "median": 0.5, "q75": 0.75}, ["column_name"])
-    return wide.select(F.inline(F.array(*columns))).join(cuts, "column_name", "left")
+    return sums.join(quantiles(cells, "value", {"q25": 0.25, "median": 0.5, "q75": 0.75}, ["column_name"]), "column_name", "left")
 
 
 def cardinalities(lines: DataFrame, products: DataFrame) -> DataFrame:
@@ -62,8 +56,8 @@ def equal_width_histogram(df: DataFrame, value: str, n_bins: int) -> DataFrame:
     """Counts in equal bins between min and max; the last bin is closed. Empty bins are listed."""
     spark = df.sparkSession
     values = df.select(F.col(value).cast("double").alias("v")).where("v is not null")
-    edges = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    lo, hi = edges.select("lo").scalar(), edges.select("hi").scalar()
+    edges = values.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("e")).scalar()
+    lo, hi = edges.getField("lo"), edges.getField("hi")
     index = F.when(hi == lo, F.lit(0)).otherwise(F.least(F.floor((F.col("v") - lo) * n_bins / (hi - lo)), F.lit(n_bins - 1)))
     counts = values.select(index.cast("bigint").alias("bin")).groupBy("bin").agg(F.count("*").alias("n"))
     width = (hi - lo) / n_bins
@@ -150,20 +144,13 @@ def purchase_history(lines: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def basket_summary(baskets: DataFrame) -> DataFrame:
-    """Rows and distinct orders, users, products and (user, product) pairs.
-
-    Each distinct count is its own two-step aggregate, so no row is copied once per distinct column.
-    """
-
-    def one(columns: Sequence[str], name: str) -> Column:
-        return baskets.select(*columns).distinct().agg(F.count("*").alias(name)).scalar().alias(name)
-
-    return baskets.agg(F.count("*").alias("n_rows")).select(
-        "n_rows",
-        one(["order_id"], "n_orders"),
-        one(["user_id"], "n_users"),
-        one(["product_id"], "n_products"),
-        one(["user_id", "product_id"], "n_pairs"),
+    """Rows and distinct orders, users, products and (user, product) pairs."""
+    return baskets.agg(
+        F.count("*").alias("n_rows"),
+        F.countDistinct("order_id").alias("n_orders"),
+        F.countDistinct("user_id").alias("n_users"),
+        F.countDistinct("product_id").alias("n_products"),
+        F.countDistinct("user_id", "product_id").alias("n_pairs"),
     )
 
 

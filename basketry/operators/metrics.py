@@ -11,23 +11,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.functions.positions import quantiles, rounded, running_totals, score_slice
+from basketry.functions.positions import quantile_sums, quantile_values, rounded, running_totals, score_slice
 
 KS = (5, 10, 20)
 
 
 def threshold_counts(df: DataFrame, label: str = "label", score: str = "score", group: Sequence[str] = (), slice_by: Column | None = None) -> DataFrame:
-    """Positives and negatives per distinct score, and their totals at or above it."""
+    """Positives and negatives per distinct score (``pos``, ``neg``), at or above it (``tp``, ``fp``) and in all."""
     counts = df.groupBy(*group, rounded(score).alias("threshold")).agg(
         F.sum(F.col(label)).alias("pos"), F.sum(1 - F.col(label)).alias("neg")
     )
     placed = running_totals(counts, "threshold", ["pos", "neg"], score_slice("threshold") if slice_by is None else slice_by, group, descending=True)
-    totals = counts.groupBy(*group).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-    if group:
-        placed = placed.join(totals, list(group))
-    else:
-        placed = placed.withColumns({c: totals.select(c).scalar() for c in ("n_pos", "n_neg")})
-    return placed.withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp"})
+    return placed.withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp", "all_pos": "n_pos", "all_neg": "n_neg"})
 
 
 def roc_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
@@ -40,10 +35,13 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score") -> Data
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score", group: Sequence[str] = (), slice_by: Column | None = None) -> DataFrame:
-    """Probability that a positive scores above a negative; ties count half."""
+    """Probability that a positive scores above a negative; ties count half.
+
+    A positive loses to the negatives above it, so the class sizes come from the same aggregate.
+    """
     counts = threshold_counts(df, label, score, group, slice_by)
-    wins = F.col("pos") * (F.col("n_neg") - F.col("fp") + F.col("neg") / 2)
-    return counts.groupBy(*group).agg(F.try_divide(F.sum(wins), F.max(F.col("n_pos") * F.col("n_neg"))).alias("auc"))
+    losses = F.sum(F.col("pos") * (F.col("fp") - F.col("neg") / 2))
+    return counts.groupBy(*group).agg((1 - F.try_divide(losses, F.sum("pos").cast("double") * F.sum("neg"))).alias("auc"))
 
 
 def precision_recall_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
@@ -58,8 +56,8 @@ def precision_recall_curve(df: DataFrame, label: str = "label", score: str = "sc
 def average_precision(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Sum over distinct scores of the recall gained there times the precision there."""
     counts = threshold_counts(df, label, score)
-    step = F.col("pos") / F.col("n_pos") * F.col("tp") / (F.col("tp") + F.col("fp"))
-    return counts.agg(F.sum(step).alias("average_precision"))
+    gained = F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp")))
+    return counts.agg(F.try_divide(gained, F.sum("pos")).alias("average_precision"))
 
 
 def ks_statistic(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
@@ -106,12 +104,21 @@ def classification_report(df: DataFrame, label: str = "label", score: str = "sco
 
 
 def calibration_curve(df: DataFrame, label: str = "label", score: str = "score", n_bins: int = 10) -> DataFrame:
-    """Mean score and observed rate per quantile bin; empty bins are dropped."""
-    scored = df.select(F.col(label).alias("y"), rounded(score).alias("p"))
-    inner = {f"e{i}": i / n_bins for i in range(1, n_bins)}
-    edges = quantiles(scored, "p", inner, slice_by=score_slice("_v")).select(F.array(*inner).alias("edges")).scalar()
-    placed = scored.withColumn("edges", edges).withColumn("bin", F.size(F.filter("edges", lambda e: e < F.col("p"))).cast("bigint"))
-    return placed.groupBy("bin").agg(F.count("*").alias("n"), F.avg("p").alias("mean_predicted"), F.avg("y").alias("observed_rate"))
+    """Mean score and observed rate per quantile bin; empty bins are dropped.
+
+    The bin of a score is the number of inner quantile edges below it. An interpolated edge lies below a
+    score exactly if its lower rank does, so ranks decide and the edges need not be computed.
+    """
+    counts = df.groupBy(rounded(score).alias("p")).agg(F.count("*").alias("n"), F.sum(label).alias("pos"))
+    placed = running_totals(counts, "p", ["n"], score_slice("p"))
+    start = F.col("cum_n") - F.col("n")
+    below = [(F.floor((F.col("all_n") - 1) * F.lit(i / n_bins)) < start).cast("bigint") for i in range(1, n_bins)]
+    binned = placed.withColumn("bin", sum(below[1:], below[0]))
+    return binned.groupBy("bin").agg(
+        F.sum("n").alias("n"),
+        (F.sum(F.col("p") * F.col("n")) / F.sum("n")).alias("mean_predicted"),
+        (F.sum("pos") / F.sum("n")).alias("observed_rate"),
+    )
 
 
 def log_loss(df: DataFrame, label: str = "label", score: str = "score", eps: float = 1e-15) -> DataFrame:
@@ -213,15 +220,21 @@ def metric_means(per_group: DataFrame, group: str = "order_id") -> DataFrame:
 
 
 def metric_distribution(per_group: DataFrame, metric: str, hit: str) -> DataFrame:
-    """Mean, quartiles and spread of a metric, and how many groups have a hit."""
-    values = per_group.select(rounded(metric).alias("v"), F.col(hit).alias("h"))
-    spread = values.agg(
-        F.count("*").alias("n_groups"),
-        F.avg("v").alias("mean"),
-        F.stddev_samp("v").alias("std"),
-        F.count_if(F.col("h") > 0).alias("n_hit"),
-        F.count_if(F.col("h") == 0).alias("n_missed"),
-        F.avg("h").alias("hit_share"),
+    """Mean, quartiles and spread of a metric in [0, 1], and how many groups have a hit."""
+    counts = per_group.groupBy(rounded(metric).alias("_v")).agg(F.count("*").alias("n"), F.count_if(F.col(hit) > 0).alias("hits"))
+    quartiles = {"q25": 0.25, "median": 0.5, "q75": 0.75}
+    v, n = F.col("_v"), F.col("n")
+    sums = running_totals(counts, "_v", ["n"], score_slice("_v")).agg(
+        *quantile_sums(quartiles), F.sum(v * n).alias("s1"), F.sum(v * v * n).alias("s2"), F.sum("hits").alias("n_hit")
+    )
+    total = F.col("_total")
+    variance = F.greatest(F.col("s2") - F.col("s1") * F.col("s1") / total, F.lit(0.0)) / (total - 1)
+    return sums.select(
+        total.alias("n_groups"),
+        (F.col("s1") / total).alias("mean"),
+        F.when(total > 1, F.sqrt(variance)).alias("std"),
+        *quantile_values(quartiles),
+        "n_hit",
+        (total - F.col("n_hit")).alias("n_missed"),
+        (F.col("n_hit") / total).alias("hit_share"),
     )
-    cuts = quantiles(values, "v", {"q25": 0.25, "median": 0.5, "q75": 0.75}, slice_by=score_slice("_v")).select(F.struct("q25", "median", "q75").alias("q")).scalar()
-    return spread.withColumn("q", cuts).select("n_groups", "mean", "std", "q.q25", "q.median", "q.q75", "n_hit", "n_missed", "hit_share")

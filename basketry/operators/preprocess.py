@@ -30,28 +30,21 @@ HASH_BITS = 52
 def skewed_columns(df: DataFrame, columns: Sequence[str], threshold: float = 1.0) -> DataFrame:
     """Bias-adjusted skewness of each column and whether it is to be logged.
 
-    One pass over the table. Columns with a missing or infinite value or without spread are not selected.
+    Columns with a missing or infinite value or without spread are not selected. One grouped aggregate
+    over (column, value) cells; one wide aggregate per column would outgrow what the JVM compiles.
     """
-    stats = []
-    for c in columns:
-        v = F.col(c).cast("double")
-        finite = v.isNotNull() & ~F.isnan(v) & (F.abs(v) != F.lit(float("inf")))
-        stats.append(
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.count("*").cast("double").alias("n"),
-                F.count_if(~finite).alias("n_bad"),
-                F.var_pop(F.when(finite, v)).alias("spread"),
-                F.skewness(F.when(finite, v)).alias("g1"),
-            ).alias(c)
-        )
-    wide = df.agg(*stats)
+    v = F.col("value")
+    finite = v.isNotNull() & ~F.isnan(v) & (F.abs(v) != F.lit(float("inf")))
+    stats = unpivot(df, columns).groupBy("column_name").agg(
+        F.count("*").cast("double").alias("n"),
+        F.count_if(~finite).alias("n_bad"),
+        F.var_pop(F.when(finite, v)).alias("spread"),
+        F.skewness(F.when(finite, v)).alias("g1"),
+    )
     adjusted = F.col("g1") * F.sqrt(F.col("n") * (F.col("n") - 1)) / (F.col("n") - 2)
     usable = (F.col("n_bad") == 0) & (F.col("spread") > 0) & (F.col("n") > 2)
-    return (
-        wide.select(F.inline(F.array(*columns)))
-        .withColumn("skew", F.when(usable, adjusted))
-        .select("column_name", "skew", F.coalesce(F.col("skew") > threshold, F.lit(False)).alias("is_skewed"))
+    return stats.withColumn("skew", F.when(usable, adjusted)).select(
+        "column_name", "skew", F.coalesce(F.col("skew") > threshold, F.lit(False)).alias("is_skewed")
     )
 
 
@@ -71,11 +64,8 @@ def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def scales(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Mean, population std and divisor per column; a constant column is divided by 1."""
-    wide = df.agg(
-        *[F.struct(F.lit(c).alias("column_name"), F.avg(c).alias("mean"), F.stddev_pop(c).alias("std")).alias(c) for c in columns]
-    )
-    flat = wide.select(F.inline(F.array(*columns)))
-    return flat.withColumn("scale", F.when(F.col("std") > 0, F.col("std")).otherwise(F.lit(1.0)))
+    stats = unpivot(df, columns).groupBy("column_name").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
+    return stats.withColumn("scale", F.when(F.col("std") > 0, F.col("std")).otherwise(F.lit(1.0)))
 
 
 @dataclass(frozen=True)

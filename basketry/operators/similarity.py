@@ -68,9 +68,14 @@ def _large_order_pairs(baskets: DataFrame, n_large: Column) -> DataFrame:
     return counted.applyInPandas(_cell_counts, "product_a bigint, product_b bigint, n bigint")
 
 
-def co_purchases(baskets: DataFrame, min_support: int = 1, pair_limit: int = PAIR_LIMIT) -> DataFrame:
-    """Orders that contain both products, one row per unordered pair ``product_a < product_b``."""
+def co_purchases(baskets: DataFrame, min_support: int = 1, pair_limit: int = PAIR_LIMIT, largest: int | None = None) -> DataFrame:
+    """Orders that contain both products, one row per unordered pair ``product_a < product_b``.
+
+    ``largest`` is an upper bound of the order size, if one is known.
+    """
     baskets = baskets.select("order_id", "product_id")
+    if largest is not None and largest <= pair_limit:
+        return _small_order_pairs(baskets).withColumnRenamed("n", "n_both").where(F.col("n_both") >= min_support)
     large = baskets.groupBy("order_id").agg(F.count("*").alias("n")).where(F.col("n") > pair_limit).select("order_id")
     small_pairs = _small_order_pairs(baskets.join(large, "order_id", "left_anti"))
     large_pairs = _large_order_pairs(baskets.join(large, "order_id", "left_semi"), large.agg(F.count("*")).scalar())
@@ -94,7 +99,7 @@ def cosine_scores(pairs: DataFrame, support: DataFrame) -> DataFrame:
     return joined.select("product_id", "neighbor_product_id", (F.col("n_both") / F.sqrt(F.col("n_own") * F.col("n_other"))).alias("score"))
 
 
-def top_neighbors(baskets: DataFrame, k: int = 10, decimals: int | None = None, **pair_options: int) -> DataFrame:
+def top_neighbors(baskets: DataFrame, k: int = 10, decimals: int | None = None, **pair_options: int | None) -> DataFrame:
     """The ``k`` most similar products per product: score down, then neighbor id up.
 
     Within one product ``n_both**2 / n_orders(neighbor)`` sorts exactly like the cosine and gives equal

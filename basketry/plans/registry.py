@@ -50,7 +50,7 @@ class Inputs:
         return X.split(tables.baskets, "prior")
 
     def edges(self, tables: BasketTables) -> DataFrame:
-        return S.top_neighbors(self.prior_baskets(tables))
+        return S.top_neighbors(self.prior_baskets(tables), largest=tables.largest_order)
 
     def recent(self) -> DataFrame:
         """Products of each user's last prior order."""
@@ -62,7 +62,7 @@ class Inputs:
         baskets = self.prior_baskets(self.folded) if baskets is None else baskets
         pairs = X.interactions(baskets) if pairs is None else pairs
         scored = pairs.select("user_id", "product_id", (F.col("count") / (1.0 + F.col("count"))).alias("als_score"))
-        return S.pair_similarity(scored, pairs, S.top_neighbors(baskets))
+        return S.pair_similarity(scored, pairs, S.top_neighbors(baskets, largest=self.folded.largest_order))
 
     def base(self, split: str) -> DataFrame:
         return C.candidate_base(self.folded.orders, self.folded.baskets, split)
@@ -70,24 +70,25 @@ class Inputs:
     def scored(self, split: str) -> DataFrame:
         """Candidates scored by the product's share in the user's history."""
         rates = X.pair_features(self.prior_baskets(self.folded)).select("user_id", "product_id", F.col("up_rate_in_user_history").alias("score"))
-        return self.base(split).join(rates, ["user_id", "product_id"])
+        candidates = C.expand_candidates(X.split(self.folded.orders, split), rates).where(F.col("product_id").isNotNull())
+        return C.attach_labels(candidates, X.split(self.folded.baskets, "train")) if split == "train" else candidates
 
     def full(self, split: str) -> DataFrame:
         """The candidate table with all features.
 
         The prior lines and their totals per (user, product) are written once; every feature reads the
-        columns it needs from these two tables.
+        columns it needs from these two tables. Features per (user, product) are joined to the history
+        before it is expanded to the target orders.
         """
         lines = materialize(self.prior(self.folded), "prior-lines")
         totals = materialize(X.pair_totals(lines), "pair-totals")
-        targets = X.split(self.folded.orders, split)
-        candidates = C.expand_candidates(targets, totals.select("user_id", "product_id"))
-        if split == "train":
-            candidates = C.attach_labels(candidates, X.split(self.folded.baskets, "train"))
         pairs = totals.select("user_id", "product_id", F.col("n").alias("count"))
-        with_similarity = C.attach_similarity(candidates, self.pair_scores(lines, pairs))
-        features = [f(lines, totals=totals) for f in (X.user_features, X.product_features, X.pair_features)]
-        return C.ordered_columns(C.attach_features(with_similarity, *features))
+        history = X.pair_features(lines, totals).join(self.pair_scores(lines, pairs), ["user_id", "product_id"])
+        candidates = C.expand_candidates(X.split(self.folded.orders, split), history)
+        joined = C.attach_features(candidates, X.user_features(lines, totals=totals), X.product_features(lines, totals))
+        if split == "train":
+            joined = C.attach_labels(joined, X.split(self.folded.baskets, "train"))
+        return C.ordered_columns(joined)
 
 
 _INPUTS: dict[tuple[str, str], Inputs] = {}

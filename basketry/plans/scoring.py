@@ -36,7 +36,7 @@ from basketry.sources import tables as T
       ON a.order_id = b.order_id AND a.product_id < b.product_id WHERE a.eval_set = 'prior' GROUP BY 1, 2""",
 )
 def _(i: Inputs):
-    return S.co_purchases(i.prior_baskets(i.natural))
+    return S.co_purchases(i.prior_baskets(i.natural), largest=i.natural.largest_order)
 
 
 @query(
@@ -49,7 +49,7 @@ def _(i: Inputs):
 )
 def _(i: Inputs):
     baskets = i.prior_baskets(i.folded)
-    return S.cosine_scores(S.co_purchases(baskets), S.product_support(baskets))
+    return S.cosine_scores(S.co_purchases(baskets, largest=i.folded.largest_order), S.product_support(baskets))
 
 
 @query("w03_top_neighbors", "SELECT product_id, neighbor_product_id, round(score, 6) AS score, rank FROM b_edges")
@@ -59,7 +59,7 @@ def _(i: Inputs):
 
 @query("m02_rounded_neighbors", "SELECT product_id, neighbor_product_id, round(score, 4) AS score, rank FROM f_edges")
 def _(i: Inputs):
-    return S.top_neighbors(i.prior_baskets(i.folded), decimals=4)
+    return S.top_neighbors(i.prior_baskets(i.folded), decimals=4, largest=i.folded.largest_order)
 
 
 @query(

@@ -17,6 +17,9 @@ def build_session(app: str = "basketry", cores: str = "*", shuffle_partitions: i
         .appName(app)
         .config("spark.sql.shuffle.partitions", shuffle_partitions)
         .config("spark.sql.adaptive.enabled", "true")
+        # Small local data would otherwise be coalesced into fewer tasks than there are cores.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "12g")

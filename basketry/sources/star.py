@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketry.functions.positions import grouped_position
+from basketry.functions.positions import GROUP_LIMIT, grouped_position, largest_group
 
 # The department number of each part type.
 DEPARTMENT_NUMBERS = {"ECONOMY": 1, "LARGE": 2, "MEDIUM": 3, "PROMO": 4, "SMALL": 5, "STANDARD": 6}
@@ -77,15 +77,29 @@ class BasketTables:
             (gap % 31).cast("double").alias("days_since_prior_order"),
         )
 
+    @cached_property
+    def largest_order(self) -> int:
+        """Line items of the largest order."""
+        return largest_group(self._scan("lineitem").select("l_orderkey"), ["l_orderkey"])
+
+    @cached_property
+    def largest_user(self) -> int:
+        """Orders of the user with most orders."""
+        return largest_group(self._scan("orders").select("o_custkey"), ["o_custkey"])
+
     @cached_property
     def basket_lines(self) -> DataFrame:
-        """Distinct (order, product) with the first line number; all that similarity needs."""
-        return (
-            self._scan("lineitem")
-            .select(F.col("l_orderkey").cast("bigint").alias("order_id"), self._product("l_partkey").alias("product_id"), "l_linenumber")
-            .groupBy("order_id", "product_id")
-            .agg(F.min("l_linenumber").alias("first_line"))
+        """Distinct (order, product) with the first line number.
+
+        If all orders are small, lines are shuffled by order once, and the later steps by order find
+        them in place; else by (order, product), which spreads large orders.
+        """
+        lines = self._scan("lineitem").select(
+            F.col("l_orderkey").cast("bigint").alias("order_id"), self._product("l_partkey").alias("product_id"), "l_linenumber"
         )
+        if self.largest_order <= GROUP_LIMIT:
+            lines = lines.repartition("order_id")
+        return lines.groupBy("order_id", "product_id").agg(F.min("l_linenumber").alias("first_line"))
 
     @cached_property
     def baskets(self) -> DataFrame:
@@ -102,10 +116,17 @@ class BasketTables:
             F.floor(F.col("first_line") / LINE_SLICE),
             [F.col("first_line"), F.col("product_id")],
             "add_to_cart_order",
+            largest=self.largest_order,
         )
         joined = placed.drop("first_line").join(self.orders, "order_id")
-        first = self.baskets.groupBy("user_id", "product_id").agg(F.min("order_number").alias("first_number"))
-        return joined.join(first, ["user_id", "product_id"]).select(
+        if self.largest_user <= GROUP_LIMIT:
+            # A user has a product at most once per order, which bounds the group.
+            first_number = F.min("order_number").over(Window.partitionBy("user_id", "product_id"))
+            joined = joined.withColumn("first_number", first_number)
+        else:
+            first = self.baskets.groupBy("user_id", "product_id").agg(F.min("order_number").alias("first_number"))
+            joined = joined.join(first, ["user_id", "product_id"])
+        return joined.select(
             "order_id",
             "product_id",
             "add_to_cart_order",
