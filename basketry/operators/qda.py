@@ -162,13 +162,13 @@ class QdaFit:
     search: list[tuple[str, float, float]]
 
 
-def fit_qda(train: DataFrame, columns: Sequence[str], ids: Sequence[str], k: int = 5, seed: int = 42, coarse: Sequence[float] = COARSE) -> tuple[QdaFit, DataFrame]:
+def fit_qda(train: DataFrame, columns: Sequence[str], ids: Sequence[str], k: int = 5, seed: int = 42, coarse: Sequence[float] = COARSE, kept: list[str] | None = None) -> tuple[QdaFit, DataFrame]:
     """Preprocess, search the strength in two stages by cross-validated AUC, fit on all rows.
 
     Returns the fit and the training rows with their fold and feature array.
     """
     prep = fit_preprocessing(train, columns)
-    rows = materialize(prep.apply(stratified_folds(train.select(*ids, "label", *columns), ids, k=k, seed=seed)).select(*ids, "label", "fold", "x"))
+    rows = materialize(prep.apply(stratified_folds(train.select(*ids, "label", *columns), ids, k=k, seed=seed)).select(*ids, "label", "fold", "x"), "qda-rows", kept=kept)
     model, held_out = fold_models(class_statistics(rows, len(columns)), range(k))
     search: list[tuple[str, float, float]] = []
 

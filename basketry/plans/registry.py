@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,27 +14,32 @@ from basketry.operators import candidates as C
 from basketry.operators import features as X
 from basketry.operators import similarity as S
 from basketry.plans.oracle import oracle
-from basketry.session import materialize
+from basketry.session import materialize, path_exists
 from basketry.sources.star import BasketTables, load_star
 
 FOLD = 100
 DECIMALS = 6
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Inputs:
     """Tables with natural product keys (``natural``) and folded ones, where users buy products again."""
 
     spark: SparkSession
     path: str
+    kept: list[str] = field(default_factory=list)
+
+    def keep(self, df: DataFrame, label: str) -> DataFrame:
+        """Write a table that several queries use."""
+        return materialize(df, label, kept=self.kept)
 
     @cached_property
     def natural(self) -> BasketTables:
-        return load_star(self.spark, self.path)
+        return load_star(self.spark, self.path, staged=True, kept=self.kept)
 
     @cached_property
     def folded(self) -> BasketTables:
-        return load_star(self.spark, self.path, FOLD)
+        return load_star(self.spark, self.path, FOLD, staged=True, kept=self.kept)
 
     def catalog(self, tables: BasketTables) -> DataFrame:
         return tables.products.join(tables.departments, "department_id", "left")
@@ -76,11 +81,11 @@ class Inputs:
     def full(self, split: str) -> DataFrame:
         """The candidate table with all features.
 
-        The prior lines and their totals per (user, product) are written once; every feature reads the
-        columns it needs from these two tables. Features per (user, product) are joined to the history
+        The totals per (user, product) are written once, and every feature reads the columns it needs of
+        them. Features per (user, product) are joined to the history
         before it is expanded to the target orders.
         """
-        lines = materialize(self.prior(self.folded), "prior-lines")
+        lines = self.prior(self.folded)
         totals = materialize(X.pair_totals(lines), "pair-totals")
         pairs = totals.select("user_id", "product_id", F.col("n").alias("count"))
         history = X.pair_features(lines, totals).join(self.pair_scores(lines, pairs), ["user_id", "product_id"])
@@ -95,8 +100,9 @@ _INPUTS: dict[tuple[str, str], Inputs] = {}
 
 
 def inputs(spark: SparkSession, path: str) -> Inputs:
+    """The inputs of a data folder; built anew if one of their written tables is gone."""
     key = (spark.sparkContext.applicationId, path)
-    if key not in _INPUTS:
+    if key not in _INPUTS or not all(path_exists(spark, p) for p in _INPUTS[key].kept):
         _INPUTS[key] = Inputs(spark, path)
     return _INPUTS[key]
 

@@ -24,7 +24,7 @@ from basketry.operators import similarity as S
 from basketry.plans.profiles import _BADGE
 from basketry.plans.registry import Inputs, query
 from basketry.plans.tables_and_rules import _IMAGE_SQL, IMAGES
-from basketry.session import materialize, scratch_path
+from basketry.session import scratch_path
 from basketry.sources import tables as T
 
 # ---------------------------------------------------------------- similarity
@@ -404,12 +404,12 @@ _FEATURES = C.FEATURE_COLUMNS
 
 @lru_cache(maxsize=4)
 def _train_rows(i: Inputs):
-    return materialize(i.full("train").where(F.col("product_id").isNotNull()))
+    return i.keep(i.full("train").where(F.col("product_id").isNotNull()), "train")
 
 
 @lru_cache(maxsize=4)
 def _test_rows(i: Inputs):
-    return materialize(i.full("test").where(F.col("product_id").isNotNull()))
+    return i.keep(i.full("test").where(F.col("product_id").isNotNull()), "test")
 
 
 @lru_cache(maxsize=4)
@@ -419,7 +419,7 @@ def _factors(i: Inputs):
 
 @lru_cache(maxsize=4)
 def _classifier(i: Inputs):
-    return D.fit_qda(_train_rows(i), _FEATURES, C.ID_COLUMNS)
+    return D.fit_qda(_train_rows(i), _FEATURES, C.ID_COLUMNS, kept=i.kept)
 
 
 @lru_cache(maxsize=4)
@@ -427,9 +427,9 @@ def _classified(i: Inputs, split: str):
     """Candidates of a split with the classifier's two score columns."""
     fit, rows = _classifier(i)
     if split == "test":
-        return materialize(D.score_new(_test_rows(i), fit))
+        return i.keep(D.score_new(_test_rows(i), fit), "test-scores")
     scores = D.score_training(rows, fit).drop("label")
-    return materialize(_train_rows(i).join(scores, C.ID_COLUMNS))
+    return i.keep(_train_rows(i).join(scores, C.ID_COLUMNS), "train-scores")
 
 
 @lru_cache(maxsize=4)

@@ -53,12 +53,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str = "table") -> DataFrame:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def materialize(df: DataFrame, label: str = "table", split_by: str | None = None, kept: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     This cuts the lineage: the table survives lost executors, and later passes read only the columns
-    they need instead of recomputing what led here.
+    (and, with ``split_by``, only the partitions) they need instead of recomputing what led here. The
+    path is added to ``kept``.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    (df.write if split_by is None else df.write.partitionBy(split_by)).parquet(path)
+    if kept is not None:
+        kept.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

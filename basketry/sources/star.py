@@ -7,13 +7,14 @@ all parts stay in.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.positions import GROUP_LIMIT, grouped_position, largest_group
+from basketry.session import materialize
 
 # The department number of each part type.
 DEPARTMENT_NUMBERS = {"ECONOMY": 1, "LARGE": 2, "MEDIUM": 3, "PROMO": 4, "SMALL": 5, "STANDARD": 6}
@@ -22,13 +23,20 @@ DEPARTMENT_NUMBERS = {"ECONOMY": 1, "LARGE": 2, "MEDIUM": 3, "PROMO": 4, "SMALL"
 LINE_SLICE = 64
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class BasketTables:
-    """The six base tables, built on first use."""
+    """The six base tables, built on first use.
+
+    With ``staged`` the two derived fact tables are written to the shared folder when first needed, the
+    lines by split, so that each later query scans just its columns and splits of them. The paths
+    are listed in ``kept``.
+    """
 
     spark: SparkSession
     path: str
     n_products: int | None = None
+    staged: bool = False
+    kept: list[str] = field(default_factory=list)
 
     def _scan(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path.rstrip('/')}/{table}.parquet")
@@ -39,6 +47,10 @@ class BasketTables:
 
     @cached_property
     def orders(self) -> DataFrame:
+        orders = self._derived_orders()
+        return materialize(orders, "orders", kept=self.kept) if self.staged else orders
+
+    def _derived_orders(self) -> DataFrame:
         """One row per order with its sequence number, split and gap to the previous order.
 
         The calendar of each user (one row per user and day) carries the sequence offset and the
@@ -89,6 +101,10 @@ class BasketTables:
 
     @cached_property
     def basket_lines(self) -> DataFrame:
+        """Distinct (order, product)."""
+        return (self.line_facts if self.staged else self._derived_lines()).select("order_id", "product_id")
+
+    def _derived_lines(self) -> DataFrame:
         """Distinct (order, product) with the first line number.
 
         If all orders are small, lines are shuffled by order once, and the later steps by order find
@@ -104,14 +120,22 @@ class BasketTables:
     @cached_property
     def baskets(self) -> DataFrame:
         """Distinct (order, user, product, split) without cart position and reorder flag."""
-        keys = self.orders.select("order_id", "user_id", "eval_set", "order_number")
-        return self.basket_lines.select("order_id", "product_id").join(keys, "order_id")
+        if self.staged:
+            return self.line_facts.select("order_id", "product_id", "user_id", "eval_set", "order_number")
+        return self._derived_lines().select("order_id", "product_id").join(self._basket_keys(), "order_id")
+
+    def _basket_keys(self) -> DataFrame:
+        return self.orders.select("order_id", "user_id", "eval_set", "order_number")
 
     @cached_property
     def line_facts(self) -> DataFrame:
+        facts = self._derived_facts()
+        return materialize(facts, "lines", split_by="eval_set", kept=self.kept) if self.staged else facts
+
+    def _derived_facts(self) -> DataFrame:
         """Line items with the columns of their order, one row per (order, product)."""
         placed = grouped_position(
-            self.basket_lines,
+            self._derived_lines(),
             ["order_id"],
             F.floor(F.col("first_line") / LINE_SLICE),
             [F.col("first_line"), F.col("product_id")],
@@ -124,7 +148,8 @@ class BasketTables:
             first_number = F.min("order_number").over(Window.partitionBy("user_id", "product_id"))
             joined = joined.withColumn("first_number", first_number)
         else:
-            first = self.baskets.groupBy("user_id", "product_id").agg(F.min("order_number").alias("first_number"))
+            owned = self._derived_lines().select("order_id", "product_id").join(self._basket_keys(), "order_id")
+            first = owned.groupBy("user_id", "product_id").agg(F.min("order_number").alias("first_number"))
             joined = joined.join(first, ["user_id", "product_id"])
         return joined.select(
             "order_id",
@@ -189,5 +214,5 @@ class BasketTables:
         }
 
 
-def load_star(spark: SparkSession, path: str, n_products: int | None = None) -> BasketTables:
-    return BasketTables(spark, path, n_products)
+def load_star(spark: SparkSession, path: str, n_products: int | None = None, staged: bool = False, kept: list[str] | None = None) -> BasketTables:
+    return BasketTables(spark, path, n_products, staged, [] if kept is None else kept)

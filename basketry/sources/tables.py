@@ -15,6 +15,7 @@ from basketry.operators.preprocess import Preprocessing
 from basketry.operators.qda import QdaFit, QdaModel
 from basketry.operators.quality import SchemaError, require_columns
 from basketry.operators.ranker import Ranker, Tree, tree_rows
+from basketry.session import path_exists
 
 # Schemas of the six base tables and their file names.
 ORDER_PRODUCT_SCHEMA = "order_id int, product_id int, add_to_cart_order smallint, reordered tinyint"
@@ -56,11 +57,6 @@ def load_csv_tables(spark: SparkSession, folder: str, names: Sequence[str] = tup
     return {n: spark.read.schema(CSV_TABLES[n]).option("header", True).option("escape", '"').csv(f"{folder.rstrip('/')}/{n}.csv") for n in names}
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-
-
 def _typed_csv(spark: SparkSession, path: str) -> DataFrame:
     """A candidate CSV with the types that its column names imply; only the header is looked at."""
     names = spark.read.option("header", True).csv(path).columns
