@@ -79,20 +79,19 @@ def orders_per_user_histogram(orders: DataFrame, width: int = 5, top: int = 100)
 
     The cumulative percentage is taken over all users, so it stays below 100 if users were dropped.
     """
-    spark = orders.sparkSession
     n_bins = top // width
     users = orders.groupBy("user_id").agg(F.max("order_number").alias("total_orders"))
-    counted = users.groupBy("total_orders").agg(F.count("*").alias("n"))
-    n_users = counted.agg(F.sum("n").alias("n")).scalar()
-    index = F.least(F.floor(F.col("total_orders") / width), F.lit(n_bins - 1)).cast("bigint")
-    bins = counted.where(F.col("total_orders") <= top).groupBy(index.alias("bin")).agg(F.sum("n").alias("n_users"))
+    # Users above the top fall into one more bin, which counts for the percentage only.
+    index = F.when(F.col("total_orders") > top, F.lit(n_bins)).otherwise(F.least(F.floor(F.col("total_orders") / width), F.lit(n_bins - 1)))
+    bins = users.groupBy(index.cast("bigint").alias("bin")).agg(F.count("*").alias("n_users"))
     upto = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        spark.range(n_bins)
+        orders.sparkSession.range(n_bins + 1)
         .withColumnRenamed("id", "bin")
         .join(bins, "bin", "left")
         .select("bin", (F.col("bin") * width).alias("bin_low"), ((F.col("bin") + 1) * width).alias("bin_high"), F.coalesce("n_users", F.lit(0)).alias("n_users"))
-        .withColumn("cum_pct", 100.0 * F.sum("n_users").over(upto) / n_users)
+        .withColumn("cum_pct", 100.0 * F.sum("n_users").over(upto) / F.sum("n_users").over(Window.partitionBy()))
+        .where(F.col("bin") < n_bins)
     )
 
 

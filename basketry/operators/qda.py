@@ -142,7 +142,7 @@ def with_fold_log_odds(df: DataFrame, models: dict[int, QdaModel], regs: Sequenc
 def cross_validated_auc(df: DataFrame, models: dict[int, QdaModel], regs: Sequence[float]) -> DataFrame:
     """Mean AUC over the folds for every strength, from one scoring pass."""
     scored = with_fold_log_odds(df, models, regs).select("fold", "label", F.posexplode("log_odds").alias("i", "score"))
-    aucs = roc_auc(scored, group=["i", "fold"], slice_by=F.floor(F.col("threshold") * 16))
+    aucs = roc_auc(scored, group=["i", "fold"], slice_by=F.floor(F.col("threshold") * 256))
     names = F.array(*[F.lit(float(r)) for r in regs])
     return aucs.groupBy("i").agg(F.avg("auc").alias("cv_auc")).select(F.element_at(names, F.col("i") + 1).alias("reg"), "cv_auc")
 
