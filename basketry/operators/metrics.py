@@ -28,7 +28,7 @@ def threshold_counts(df: DataFrame, label: str = "label", score: str = "score",
 def roc_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """One point per distinct score plus the origin (null threshold)."""
     points = threshold_counts(df, label, score).select(
-        "threshold", (F.col("fp") / F.col("n_neg")).alias("fpr"), (F.col("tp") / F.col("n_pos")).alias("tpr")
+        "threshold", F.try_divide("fp", "n_neg").alias("fpr"), F.try_divide("tp", "n_pos").alias("tpr")
     )
     origin = df.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return points.unionByName(origin)
@@ -47,7 +47,7 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", group: Se
 def precision_recall_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """One point per distinct score plus the closing point (precision 1, recall 0)."""
     points = threshold_counts(df, label, score).select(
-        "threshold", (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"), (F.col("tp") / F.col("n_pos")).alias("recall")
+        "threshold", (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"), F.try_divide("tp", "n_pos").alias("recall")
     )
     end = df.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
     return points.unionByName(end)

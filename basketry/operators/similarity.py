@@ -99,14 +99,19 @@ def cosine_scores(pairs: DataFrame, support: DataFrame) -> DataFrame:
     return joined.select("product_id", "neighbor_product_id", (F.col("n_both") / F.sqrt(F.col("n_own") * F.col("n_other"))).alias("score"))
 
 
-def top_neighbors(baskets: DataFrame, k: int = 10, decimals: int | None = None, **pair_options: int | None) -> DataFrame:
+def top_neighbors(
+    baskets: DataFrame, k: int = 10, decimals: int | None = None, support: DataFrame | None = None, **pair_options: int | None
+) -> DataFrame:
     """The ``k`` most similar products per product: score down, then neighbor id up.
 
+    ``support`` may be given as a written table: Spark then knows its size and can tell whether a
+    broadcast spares the shuffle of the pairs.
+
     Within one product ``n_both**2 / n_orders(neighbor)`` sorts exactly like the cosine and gives equal
     pairs equal keys. Ranking on it comes before the join with the product's own support, so
     each product's list is cut to ``k`` ahead of that shuffle.
     """
-    support = product_support(baskets)
+    support = product_support(baskets) if support is None else support
     other = support.select(F.col("product_id").alias("neighbor_product_id"), F.col("n_orders").alias("n_other"))
     strength = F.col("n_both").cast("double") * F.col("n_both") / F.col("n_other")
     ways = both_directions(co_purchases(baskets, **pair_options)).join(other, "neighbor_product_id").withColumn("strength", strength)

@@ -54,43 +54,62 @@ class Inputs:
     def prior_baskets(self, tables: BasketTables) -> DataFrame:
         return X.split(tables.baskets, "prior")
 
+    def neighbors(self, tables: BasketTables, decimals: int | None = None) -> DataFrame:
+        """Similarity edges, computed anew from the prior baskets."""
+        baskets = self.prior_baskets(tables)
+        support = materialize(S.product_support(baskets), "support")
+        return S.top_neighbors(baskets, decimals=decimals, support=support, largest=tables.largest_order)
+
+    @cached_property
+    def natural_edges(self) -> DataFrame:
+        return self.keep(self.neighbors(self.natural), "edges")
+
+    @cached_property
+    def folded_edges(self) -> DataFrame:
+        return self.keep(self.neighbors(self.folded), "edges")
+
     def edges(self, tables: BasketTables) -> DataFrame:
-        return S.top_neighbors(self.prior_baskets(tables), largest=tables.largest_order)
+        """The written similarity table."""
+        return self.natural_edges if tables is self.natural else self.folded_edges
+
+    @cached_property
+    def totals(self) -> DataFrame:
+        """The written totals per (user, product) of the folded prior lines."""
+        return self.keep(X.pair_totals(self.prior(self.folded)), "pair-totals")
+
+    @cached_property
+    def written_pair_scores(self) -> DataFrame:
+        return self.keep(self.pair_scores(), "pair-scores")
 
     def recent(self) -> DataFrame:
         """Products of each user's last prior order."""
         last = X.split(self.natural.orders, "prior").groupBy("user_id").agg(F.max_by("order_id", "order_number").alias("order_id"))
         return last.join(self.natural.basket_lines, "order_id").select("user_id", "product_id")
 
-    def pair_scores(self, baskets: DataFrame | None = None, pairs: DataFrame | None = None) -> DataFrame:
+    def pair_scores(self) -> DataFrame:
         """Similarity aggregates of the history pairs; purchases / (1 + purchases) stands for the factor score."""
-        baskets = self.prior_baskets(self.folded) if baskets is None else baskets
-        pairs = X.interactions(baskets) if pairs is None else pairs
-        scored = pairs.select("user_id", "product_id", (F.col("count") / (1.0 + F.col("count"))).alias("als_score"))
-        return S.pair_similarity(scored, pairs, S.top_neighbors(baskets, largest=self.folded.largest_order))
+        scored = self.totals.select("user_id", "product_id", (F.col("n") / (1.0 + F.col("n"))).alias("als_score"))
+        return S.pair_similarity(scored, self.totals, self.edges(self.folded))
 
     def base(self, split: str) -> DataFrame:
         return C.candidate_base(self.folded.orders, self.folded.baskets, split)
 
     def scored(self, split: str) -> DataFrame:
         """Candidates scored by the product's share in the user's history."""
-        rates = X.pair_features(self.prior_baskets(self.folded)).select("user_id", "product_id", F.col("up_rate_in_user_history").alias("score"))
+        rates = X.pair_features(self.prior(self.folded), self.totals).select("user_id", "product_id", F.col("up_rate_in_user_history").alias("score"))
         candidates = C.expand_candidates(X.split(self.folded.orders, split), rates).where(F.col("product_id").isNotNull())
         return C.attach_labels(candidates, X.split(self.folded.baskets, "train")) if split == "train" else candidates
 
     def full(self, split: str) -> DataFrame:
         """The candidate table with all features.
 
-        The totals per (user, product) are written once, and every feature reads the columns it needs of
-        them. Features per (user, product) are joined to the history
-        before it is expanded to the target orders.
+        Every feature reads the columns it needs of the totals per (user, product). Features of that
+        grain are joined to the history before it is expanded to the target orders.
         """
         lines = self.prior(self.folded)
-        totals = materialize(X.pair_totals(lines), "pair-totals")
-        pairs = totals.select("user_id", "product_id", F.col("n").alias("count"))
-        history = X.pair_features(lines, totals).join(self.pair_scores(lines, pairs), ["user_id", "product_id"])
+        history = X.pair_features(lines, self.totals).join(self.written_pair_scores, ["user_id", "product_id"])
         candidates = C.expand_candidates(X.split(self.folded.orders, split), history)
-        joined = C.attach_features(candidates, X.user_features(lines, totals=totals), X.product_features(lines, totals))
+        joined = C.attach_features(candidates, X.user_features(lines, totals=self.totals), X.product_features(lines, self.totals))
         if split == "train":
             joined = C.attach_labels(joined, X.split(self.folded.baskets, "train"))
         return C.ordered_columns(joined)

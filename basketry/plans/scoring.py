@@ -54,12 +54,12 @@ def _(i: Inputs):
 
 @query("w03_top_neighbors", "SELECT product_id, neighbor_product_id, round(score, 6) AS score, rank FROM b_edges")
 def _(i: Inputs):
-    return i.edges(i.natural)
+    return i.neighbors(i.natural)
 
 
 @query("m02_rounded_neighbors", "SELECT product_id, neighbor_product_id, round(score, 4) AS score, rank FROM f_edges")
 def _(i: Inputs):
-    return S.top_neighbors(i.prior_baskets(i.folded), decimals=4, largest=i.folded.largest_order)
+    return i.neighbors(i.folded, decimals=4)
 
 
 @query(

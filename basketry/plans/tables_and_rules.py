@@ -391,7 +391,7 @@ def _(i: Inputs):
     FROM f_cand c LEFT JOIN f_scores s ON s.user_id = c.user_id AND s.product_id = c.product_id WHERE eval_set = 'test'""",
 )
 def _(i: Inputs):
-    return C.attach_similarity(i.base("test"), i.pair_scores()).select(*C.ID_COLUMNS, *C.SIMILARITY_COLUMNS)
+    return C.attach_similarity(i.base("test"), i.written_pair_scores).select(*C.ID_COLUMNS, *C.SIMILARITY_COLUMNS)
 
 
 _ROUNDED = {

@@ -68,6 +68,12 @@ def test_average_precision_is_stepwise(spark):
     assert M.ks_statistic(df).first()[0] == pytest.approx(0.5)
 
 
+def test_one_class_only(spark):
+    df = spark.createDataFrame([(1, 0.9), (1, 0.3)], "label long, score double")
+    assert M.roc_auc(df).first()[0] is None and M.average_precision(df).first()[0] == 1.0
+    assert [r.fpr for r in M.roc_curve(df).where("threshold is not null").collect()] == [None, None]
+
+
 def test_report_without_predicted_positives(spark):
     df = spark.createDataFrame([(1, 0.1), (0, 0.2)], "label long, score double")
     rows = {r.row: r for r in M.classification_report(df).collect()}
