@@ -7,7 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from basketry.functions import scalars as E
-from basketry.functions.positions import dense_index
+from basketry.functions.positions import ID_SLICE, dense_index, grouped_position
 from basketry.operators import candidates as C
 from basketry.operators import explore as P
 from basketry.operators import features as X
@@ -490,12 +490,13 @@ def _(i: Inputs):
 
 @query(
     "l01_mixed_sort",
-    "SELECT user_id, product_id, count(*) AS count, row_number() OVER (ORDER BY count(*) DESC, user_id, product_id) AS place FROM f_facts WHERE eval_set = 'prior' GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 100",
+    "SELECT user_id, product_id, count(*) AS count, row_number() OVER (ORDER BY count(*) DESC, user_id, product_id) AS place FROM f_facts WHERE eval_set = 'prior' GROUP BY 1, 2",
 )
 def _(i: Inputs):
     pairs = X.interactions(i.prior_baskets(i.folded))
-    first = pairs.orderBy(F.col("count").desc(), "user_id", "product_id").limit(100)
-    return M.top_k_per_group(first.withColumn("_all", F.lit(0)), ["_all"], [F.col("count").desc(), F.col("user_id"), F.col("product_id")], 100, "place").drop("_all")
+    order = [F.col("count").desc(), F.col("user_id"), F.col("product_id")]
+    slices = F.struct(-F.col("count"), F.floor(F.col("user_id") / ID_SLICE))
+    return grouped_position(pairs, [], slices, order, "place").orderBy(*order)
 
 
 @query("l02_global_top", "SELECT user_id, product_id, round(score, 6) AS score FROM f_scored WHERE eval_set = 'test' ORDER BY round(f_scored.score, 9) DESC, user_id, product_id LIMIT 25")

@@ -34,7 +34,7 @@ def table(spark, frame):
     return spark.createDataFrame(frame)
 
 
-def reference_log_odds(x, y, reg):
+def plain_log_odds(x, y, reg):
     sides = []
     for k in (0, 1):
         xk = x[y == k]
@@ -82,7 +82,7 @@ def test_qda_matches_numpy(spark, table, frame):
     fit, rows = D.fit_qda(table, ["a", "b", "c"], IDS)
     x, y = prepared(frame), frame["label"].to_numpy()
     scored = D.score_new(table, fit).toPandas().set_index(IDS).loc[list(frame[IDS].itertuples(index=False, name=None))]
-    want = 1 / (1 + np.exp(-reference_log_odds(x, y, fit.reg)))
+    want = 1 / (1 + np.exp(-plain_log_odds(x, y, fit.reg)))
     np.testing.assert_allclose(scored["qda_p_score"], want, rtol=1e-6, atol=1e-9)
     assert fit.cv_auc > 0.6 and fit.cv_auc == max(s[2] for s in fit.search if s[0] == "fine")
     folds = rows.select(*IDS, "fold").toPandas().set_index(IDS).loc[list(frame[IDS].itertuples(index=False, name=None))]["fold"].to_numpy()
