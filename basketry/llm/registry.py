@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from basketry.llm.bpe import op10_byte_bpe
+from basketry.llm.licenses import op9_license_join
 from basketry.llm.packing import op3_grouped_packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_grouped_packing": op3_grouped_packing,
+    "op9_license_join": op9_license_join,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
