@@ -6,14 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from basketry.llm.ann import op1_adaptive_scan
 from basketry.llm.bpe import op10_byte_bpe
 from basketry.llm.licenses import op9_license_join
 from basketry.llm.packing import op3_grouped_packing
+from basketry.llm.topk import OP2_SQL, op2_nra_top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_adaptive_scan": op1_adaptive_scan,
+    "op2_nra_top_k": op2_nra_top_k,
     "op3_grouped_packing": op3_grouped_packing,
     "op9_license_join": op9_license_join,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_nra_top_k": OP2_SQL,
+}
