@@ -11,11 +11,13 @@ from basketry.llm.bpe import op10_byte_bpe
 from basketry.llm.licenses import op9_license_join
 from basketry.llm.packing import op3_grouped_packing
 from basketry.llm.topk import OP2_SQL, op2_nra_top_k
+from basketry.llm.toxicity import op6_nnpu_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_adaptive_scan": op1_adaptive_scan,
     "op2_nra_top_k": op2_nra_top_k,
     "op3_grouped_packing": op3_grouped_packing,
+    "op6_nnpu_toxicity": op6_nnpu_toxicity,
     "op9_license_join": op9_license_join,
     "op10_byte_bpe": op10_byte_bpe,
 }
