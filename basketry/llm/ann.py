@@ -4,12 +4,12 @@
   distance), are turned by a random rotation, and join the list of their nearest centroid. Centroids are fitted on a
   bounded sample (``sample_rows``); every vector is indexed. Lists longer than ``list_rows`` are dealt into chunks by
   hash, so that a list which holds a third of all vectors is many tasks.
-* Search: a query goes to its nearest lists. In each chunk the first vectors give a threshold (distance of the k-th
-  best so far). The others are scanned in blocks of rotated columns: after each block a candidate is abandoned if the
-  hypothesis that its whole distance is within the threshold is rejected, i.e. if its partial distance, scaled to all
-  columns, exceeds the threshold by the factor ``(1 + EPSILON / sqrt(columns))`` of the distance. Survivors get the
-  exact inner product of the original vectors.
-* Each chunk returns at most ``k`` rows a query.
+* Search: a query goes to its nearest list first, whose k-th best score is its threshold in the other lists it probes.
+  Candidates are scanned in blocks of rotated columns: after each block one is abandoned if the hypothesis that its
+  whole distance is within the threshold is rejected, i.e. if its partial distance, scaled to all columns, exceeds the
+  threshold by the factor ``(1 + EPSILON / sqrt(columns))`` of the distance. Survivors get the exact inner product of
+  the original vectors.
+* Each chunk returns at most ``k`` rows a query, and only such as reach its threshold.
 
 Probing 70 % of the lists (8 at least) is what unclustered vectors need for a recall above 0.95; clustered ones need
 fewer. Defined results: see ``valid_vectors``; zero vectors take no part either; a query with fewer candidates gets all.
@@ -30,6 +30,7 @@ LIST_ROWS = 1024  # vectors of a list, on average; longer lists are cut into chu
 PROBED = 0.7  # part of the lists that a query visits
 LEAST_PROBED = 8
 EPSILON = 2.1  # larger: fewer candidates are abandoned wrongly
+TOGETHER = 256  # queries scanned together
 BLOCK = 16  # columns between two tests
 SEED = 11
 FOUND = "query_id long, vec_id long, score double"
@@ -50,26 +51,40 @@ def centroids(sample: np.ndarray, n_lists: int, rounds: int = 10) -> np.ndarray:
     return centres
 
 
-def scan(query: np.ndarray, turned: np.ndarray, x: np.ndarray, rotated: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers and exact scores of the best ``k`` rows found for one query; ``x`` and ``rotated`` hold the same rows."""
-    d = rotated.shape[1]
+def scan(
+    queries: np.ndarray, turned: np.ndarray, own: np.ndarray, floor: np.ndarray, x: np.ndarray, rotated: np.ndarray, ids: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(query number, row number, exact score)`` of at most ``k`` rows a query that reach its ``floor``.
+
+    ``x`` and ``rotated`` hold the same rows, ``queries`` and ``turned`` the same queries; a query's own id is skipped.
+    A floor of minus infinity is raised to the k-th best score of the first rows.
+    """
     first = min(len(ids), 4 * k)
-    kept, score = np.arange(first), x[:first] @ query
-    rest = np.arange(first, len(ids))
-    if len(rest):
-        whole = float(turned @ turned) + float(rotated[0] @ rotated[0])  # norms are equal
-        limit = max(0.0, whole - 2 * np.partition(score, first - k)[first - k]) if first >= k else np.inf
-        partial = np.zeros(len(rest))
-        for at in range(0, d, BLOCK):
-            to = min(d, at + BLOCK)
-            gap = rotated[rest, at:to] - turned[at:to]
-            partial += np.einsum("ij,ij->i", gap, gap)
-            if to < d:
-                stays = partial * (d / to) <= limit * (1 + EPSILON / np.sqrt(to)) ** 2
-                rest, partial = rest[stays], partial[stays]
-        kept, score = np.concatenate([kept, rest]), np.concatenate([score, x[rest] @ query])
-    best = np.lexsort((ids[kept], -score))[:k]
-    return kept[best], score[best]
+    if first >= k and np.isneginf(floor).any():
+        score = queries @ x[:first].T
+        score[own[:, None] == ids[:first]] = -np.inf
+        floor = np.maximum(floor, np.partition(score, first - k, axis=1)[:, first - k])
+    # Distances stand for scores, since all norms are equal; the slack is for rounding alone.
+    limit = (turned**2).sum(axis=1) + float(rotated[0] @ rotated[0]) - 2 * floor + 1e-9
+    d, to = rotated.shape[1], min(BLOCK, rotated.shape[1])
+    partial = (turned[:, :to] ** 2).sum(axis=1)[:, None] + (rotated[:, :to] ** 2).sum(axis=1) - 2 * turned[:, :to] @ rotated[:, :to].T
+    stays = partial * (d / to) <= (limit * (1 + EPSILON / np.sqrt(to)) ** 2)[:, None] if to < d else np.isfinite(partial)
+    q, row = np.nonzero(stays & (own[:, None] != ids))
+    partial = partial[q, row]
+    for at in range(to, d, BLOCK):
+        to = min(d, at + BLOCK)
+        gap = rotated[row, at:to] - turned[q, at:to]
+        partial = partial + np.einsum("ij,ij->i", gap, gap)
+        if to < d:
+            stays = partial * (d / to) <= limit[q] * (1 + EPSILON / np.sqrt(to)) ** 2
+            q, row, partial = q[stays], row[stays], partial[stays]
+    score = np.einsum("ij,ij->i", x[row], queries[q])
+    good = score >= floor[q]
+    q, row, score = q[good], row[good], score[good]
+    order = np.lexsort((ids[row], -score, q))
+    q, row, score = q[order], row[order], score[order]
+    best = np.arange(len(q)) - np.searchsorted(q, q) < k
+    return q[best], row[best], score[best]
 
 
 def search(
@@ -110,26 +125,30 @@ def search(
     chunks = np.array([max(1, -(-lengths.get(c, 0) // (2 * list_rows))) for c in range(n_lists)]).tolist()
     chunks_of = F.element_at(F.array(*map(F.lit, chunks)), F.col("list") + 1)
 
-    asked = queries.select("vec_id", "x").mapInPandas(visit, "vec_id long, x array<double>, lists array<int>, rotated array<double>")
-    asked = asked.withColumn("list", F.explode("lists")).withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks_of - 1))).drop("lists")
+    asked = materialize(queries.select("vec_id", "x").mapInPandas(visit, "vec_id long, x array<double>, lists array<int>, rotated array<double>"), "ann-queries")
     given = indexed.withColumn("chunk", F.pmod(F.xxhash64("vec_id"), chunks_of).cast("int"))
 
     def run(questions: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(questions) and len(rows):
             ids, x, rotated = rows["vec_id"].to_numpy(), matrix(rows["x"]), matrix(rows["rotated"])
-            for query_id, query, turned in zip(questions["vec_id"].tolist(), matrix(questions["x"]), matrix(questions["rotated"]), strict=True):
-                own = ids == query_id
-                if own.any():
-                    row, score = scan(query, turned, x[~own], rotated[~own], ids[~own], k)
-                    row = np.flatnonzero(~own)[row]
-                else:
-                    row, score = scan(query, turned, x, rotated, ids, k)
-                found.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[row], "score": score}))
+            for at in range(0, len(questions), TOGETHER):
+                part = questions.iloc[at : at + TOGETHER]
+                own = part["vec_id"].to_numpy()
+                q, row, score = scan(matrix(part["x"]), matrix(part["rotated"]), own, part["floor"].to_numpy(), x, rotated, ids, k)
+                found.append(pd.DataFrame({"query_id": own[q], "vec_id": ids[row], "score": score}))
         return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
 
-    found = asked.select("list", "chunk", "vec_id", "x", "rotated").groupBy("list", "chunk").cogroup(given.groupBy("list", "chunk")).applyInPandas(run, FOUND)
-    return best_first(found, k)
+    def visited(visits: DataFrame) -> DataFrame:
+        visits = visits.withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks_of - 1))).select("list", "chunk", "vec_id", "x", "rotated", "floor")
+        return best_first(visits.groupBy("list", "chunk").cogroup(given.groupBy("list", "chunk")).applyInPandas(run, FOUND), k)
+
+    # The nearest list gives every query a floor, below which the other lists return nothing.
+    near = materialize(visited(asked.withColumn("list", F.element_at("lists", 1)).withColumn("floor", F.lit(float("-inf")))), "ann-near")
+    floors = near.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("floor"))
+    rest = asked.withColumn("list", F.explode(F.slice("lists", 2, max(1, probes - 1)))).join(floors, "vec_id", "left")
+    far = visited(rest.withColumn("floor", F.coalesce("floor", F.lit(float("-inf")))))
+    return best_first(near.drop("rank").unionByName(far.drop("rank")), k)
 
 
 def op1_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
