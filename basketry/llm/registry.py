@@ -10,6 +10,7 @@ from basketry.llm.ann import op1_adaptive_scan
 from basketry.llm.bpe import op10_byte_bpe
 from basketry.llm.context_tree import op5_context_tree
 from basketry.llm.licenses import op9_license_join
+from basketry.llm.lines import op8_fuzzy_lines
 from basketry.llm.packing import op3_grouped_packing
 from basketry.llm.topk import OP2_SQL, op2_nra_top_k
 from basketry.llm.toxicity import op6_nnpu_toxicity
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_grouped_packing": op3_grouped_packing,
     "op5_context_tree": op5_context_tree,
     "op6_nnpu_toxicity": op6_nnpu_toxicity,
+    "op8_fuzzy_lines": op8_fuzzy_lines,
     "op9_license_join": op9_license_join,
     "op10_byte_bpe": op10_byte_bpe,
 }
