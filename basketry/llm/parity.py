@@ -54,11 +54,18 @@ class Sets:
     """Shingle sets of texts: ``items`` sorted within each text, ``starts`` and ``sizes`` by text."""
 
     def __init__(self, texts: list[bytes]):
-        n = len(texts)
         buffer, places = joined([t.translate(LOWER) for t in texts])
         first, last = word_spans(buffer)
-        words = span_hashes(buffer, first, last)
-        owner = np.searchsorted(places, first, side="right") - 1
+        self._build(span_hashes(buffer, first, last), np.searchsorted(places, first, side="right") - 1, len(texts))
+
+    @classmethod
+    def of_words(cls, words: np.ndarray, owner: np.ndarray, n: int) -> Sets:
+        """Sets of ``n`` sequences of word hashes that follow each other."""
+        sets = cls.__new__(cls)
+        sets._build(words, owner, n)
+        return sets
+
+    def _build(self, words: np.ndarray, owner: np.ndarray, n: int) -> None:
         count = np.bincount(owner, minlength=n)
         shingles, of = combined(words, WIDTH), owner[: max(0, len(words) - WIDTH + 1)]
         whole = of == owner[WIDTH - 1 :] if len(shingles) else np.zeros(0, bool)
@@ -158,6 +165,23 @@ def named_sets(texts: DataFrame) -> DataFrame:
     return texts.mapInPandas(run, "row long, doc_id long, n long, name long")
 
 
+def pack(keys: np.ndarray, of: np.ndarray, sets: Sets, parts: int) -> pd.DataFrame:
+    """One row for each part: its keys, and the names and sizes of their sets."""
+    to = ((keys >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(to, kind="stable")
+    keys, of, to = keys[order].astype(np.uint32), of[order], to[order]
+    rows = []
+    edges = np.flatnonzero(np.diff(to, prepend=-1, append=-1))
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        who, at = np.unique(of[a:b], return_inverse=True)
+        at = at.astype(np.uint32 if len(who) > 65535 else np.uint16)
+        rows.append((int(to[a]), keys[a:b].tobytes(), at.tobytes(), sets.names[who].tobytes(), sets.sizes[who].tobytes()))
+    return pd.DataFrame(rows, columns=["part", "keys", "at", "names", "sizes"])
+
+
+PACKED = "part int, keys binary, at binary, names binary, sizes binary"
+
+
 def packed_keys(texts: DataFrame, parts: int) -> DataFrame:
     """The keys of all different sets: what a portion of texts has for one part, as packed arrays."""
 
@@ -169,17 +193,9 @@ def packed_keys(texts: DataFrame, parts: int) -> DataFrame:
                 sets = Sets(raw[part])
                 fresh = [k for k, name in enumerate(sets.names.tolist()) if name and not (name in seen or seen.add(name))]
                 keys, of = block_keys(sets, np.array(fresh, np.int64))
-                to = ((keys >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
-                order = np.argsort(to, kind="stable")
-                keys, of, to = keys[order].astype(np.uint32), of[order], to[order]
-                rows = []
-                edges = np.flatnonzero(np.diff(to, prepend=-1, append=-1)) if len(to) else []
-                for a, b in zip(edges[:-1], edges[1:], strict=False):
-                    who, at = np.unique(of[a:b], return_inverse=True)
-                    rows.append((int(to[a]), keys[a:b].tobytes(), at.astype(np.uint32 if len(who) > 65535 else np.uint16).tobytes(), sets.names[who].tobytes(), sets.sizes[who].tobytes()))
-                yield pd.DataFrame(rows, columns=["part", "keys", "at", "names", "sizes"])
-
-    return texts.select("text").mapInPandas(run, "part int, keys binary, at binary, names binary, sizes binary")
+                yield pack(keys, of, sets, parts)
+
+    return texts.select("text").mapInPandas(run, PACKED)
 
 
 def runs_of(packed: DataFrame, parts: int) -> DataFrame:

@@ -12,6 +12,7 @@ from basketry.llm.context_tree import op5_context_tree
 from basketry.llm.licenses import op9_license_join
 from basketry.llm.lines import op8_fuzzy_lines
 from basketry.llm.packing import op3_grouped_packing
+from basketry.llm.paragraphs import op4_paragraph_minhash
 from basketry.llm.parity import op7_parity_join
 from basketry.llm.topk import OP2_SQL, op2_nra_top_k
 from basketry.llm.toxicity import op6_nnpu_toxicity
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_adaptive_scan": op1_adaptive_scan,
     "op2_nra_top_k": op2_nra_top_k,
     "op3_grouped_packing": op3_grouped_packing,
+    "op4_paragraph_minhash": op4_paragraph_minhash,
     "op5_context_tree": op5_context_tree,
     "op6_nnpu_toxicity": op6_nnpu_toxicity,
     "op7_parity_join": op7_parity_join,
