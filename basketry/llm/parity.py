@@ -333,14 +333,15 @@ def undecided(apart: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def join_documents(docs: DataFrame) -> DataFrame:
-    """``(row, doc_id, n_shingles, component_id)`` of every row of ``docs``."""
+    """``(row, doc_id, n_shingles, component_id, component)`` of every row of ``docs``; ``component`` names a component also
+    where no row of it has an id, and is null for empty sets."""
     named, groups = clusters(docs)
     per_set = named.where("n > 0").groupBy("name").agg(F.min("doc_id").alias("least"))
     of = per_set.join(groups.withColumnRenamed("node", "name"), "name", "left").withColumn("component", F.coalesce("component", "name"))
     first = of.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_set = of.join(first, "component").select("name", "component_id")
+    by_set = of.join(first, "component").select("name", "component", "component_id")
     out = named.join(by_set, "name", "left")
-    return out.select("row", "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return out.select("row", "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "component")
 
 
 def op7_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
