@@ -35,6 +35,15 @@ def score_slice(score: str) -> Column:
     return F.floor(F.col(score) * SCORE_SLICES_PER_UNIT)
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on keys of which null equals null; the keys come from the left side once. No row is lost to a null key."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_right_{k}"))
+    return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     """Rows of the largest group; a small aggregate that runs at once."""
     return df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
@@ -67,8 +76,7 @@ def grouped_position(
     )
     inside = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return (
-        sliced.withColumn("_inside", inside)
-        .join(offsets, keys)
+        join_null_safe(sliced.withColumn("_inside", inside), offsets, keys)
         .withColumn(out, (F.col("_before") + F.col("_inside")).cast("bigint"))
         .drop(_SLICE, "_inside", "_before")
     )
@@ -96,7 +104,7 @@ def running_totals(
         *[F.coalesce(F.sum(f"_s_{v}").over(before), F.lit(0)).alias(f"_b_{v}") for v in values],
         *[F.sum(f"_s_{v}").over(whole).alias(f"all_{v}") for v in values],
     )
-    joined = sliced.select("*", *[F.sum(v).over(upto).alias(f"_i_{v}") for v in values]).join(offsets, keys)
+    joined = join_null_safe(sliced.select("*", *[F.sum(v).over(upto).alias(f"_i_{v}") for v in values]), offsets, keys)
     for v in values:
         joined = joined.withColumn(f"cum_{v}", F.col(f"_b_{v}") + F.col(f"_i_{v}"))
     return joined.drop(_SLICE, *[f"_b_{v}" for v in values], *[f"_i_{v}" for v in values])
@@ -119,7 +127,7 @@ def quantiles(df: DataFrame, value: str, probs: dict[str, float], group: Sequenc
     if slice_by is None:
         low, high = F.min("_v").alias("_low"), F.max("_v").alias("_high")
         if group:
-            counts = counts.join(counts.groupBy(*group).agg(low, high), list(group))
+            counts = join_null_safe(counts, counts.groupBy(*group).agg(low, high), list(group))
         else:
             edges = counts.agg(F.struct(low, high).alias("e")).scalar()
             counts = counts.withColumn("_e", edges).withColumns({c: F.col(f"_e.{c}") for c in ("_low", "_high")})

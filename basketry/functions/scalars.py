@@ -80,9 +80,9 @@ def logit(p: Column, compat: bool = False, eps: float = 1e-8) -> Column:
 
 
 def parse_id_list(text: Column) -> Column:
-    """Ids in a comma list; parts that are not all digits are skipped."""
+    """Ids in a comma list; parts that are not all digits, or too large for an id, are skipped."""
     digits = F.filter(F.transform(F.split(text, ","), lambda part: F.trim(part)), lambda part: part.rlike("^[0-9]+$"))
-    return F.transform(digits, lambda part: part.cast("bigint"))
+    return F.array_compact(F.transform(digits, lambda part: part.try_cast("bigint")))
 
 
 def dot(u: Column, v: Column) -> Column:

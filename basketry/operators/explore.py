@@ -142,15 +142,35 @@ def purchase_history(lines: DataFrame, products: DataFrame) -> DataFrame:
     return stats.join(products.select("product_id", "product_name"), "product_id", "left")
 
 
-def basket_summary(baskets: DataFrame) -> DataFrame:
-    """Rows and distinct orders, users, products and (user, product) pairs."""
-    return baskets.agg(
-        F.count("*").alias("n_rows"),
-        F.countDistinct("order_id").alias("n_orders"),
-        F.countDistinct("user_id").alias("n_users"),
-        F.countDistinct("product_id").alias("n_products"),
-        F.countDistinct("user_id", "product_id").alias("n_pairs"),
-    )
+def basket_summary(baskets: DataFrame, relative_error: float | None = None) -> DataFrame:
+    """Rows and distinct orders, users, products and (user, product) pairs.
+
+    Each count goes over the distinct values of its own columns, so no row is copied once per count. With
+    ``relative_error`` the counts are approximate and take one pass without a shuffle of values.
+    """
+    if relative_error is not None:
+
+        def about(*columns: str) -> Column:
+            every = F.lit(True)
+            for c in columns:
+                every = every & F.col(c).isNotNull()
+            return F.approx_count_distinct(F.when(every, F.struct(*columns)), relative_error)
+
+        return baskets.agg(
+            F.count("*").alias("n_rows"),
+            about("order_id").alias("n_orders"),
+            about("user_id").alias("n_users"),
+            about("product_id").alias("n_products"),
+            about("user_id", "product_id").alias("n_pairs"),
+        )
+    pairs = baskets.groupBy("user_id", "product_id").agg(F.count("*").alias("n"))
+    users = pairs.where("user_id IS NOT NULL").groupBy("user_id").agg(F.count_if(F.col("product_id").isNotNull()).alias("n"))
+    rows = pairs.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
+    sums = users.agg(F.count("*").alias("n_users"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_pairs"))
+    orders = baskets.where("order_id IS NOT NULL").select("order_id").distinct().agg(F.count("*").alias("n_orders"))
+    products = pairs.where("product_id IS NOT NULL").select("product_id").distinct().agg(F.count("*").alias("n_products"))
+    one = rows.withColumns({"n_orders": orders.scalar(), "n_products": products.scalar()})
+    return one.withColumn("s", sums.select(F.struct("n_users", "n_pairs")).scalar()).select("n_rows", "n_orders", "s.n_users", "n_products", "s.n_pairs")
 
 
 def subset_statistics(rows: DataFrame, users: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ _FACTS = """
 SELECT l.order_id, l.product_id, l.add_to_cart_order,
   CAST(o.order_number > min(o.order_number) OVER (PARTITION BY o.user_id, l.product_id) AS BIGINT) AS reordered,
   o.user_id, o.eval_set, o.order_number, o.order_dow, o.order_hour_of_day, o.days_since_prior_order
-FROM {lines} l JOIN b_orders o ON l.order_id = o.order_id
+FROM {lines} l LEFT JOIN b_orders o ON l.order_id = o.order_id
 """
 
 _PRODUCTS = """

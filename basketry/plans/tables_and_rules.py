@@ -179,7 +179,7 @@ def _(i: Inputs):
     "SELECT user_id, count(*) AS n, CAST(min(order_id) AS BIGINT) AS first_order FROM b_orders GROUP BY 1",
 )
 def _(i: Inputs):
-    narrow = i.natural.orders.select(F.col("order_id").cast("int").alias("order_id"), F.col("user_id").cast("string").alias("user_id"))
+    narrow = i.natural.orders.select(F.col("order_id").cast("string").alias("order_id"), F.col("user_id").cast("string").alias("user_id"))
     keyed = V.with_bigint_keys(narrow, ["order_id", "user_id", "product_id"])
     return keyed.groupBy("user_id").agg(F.count("*").alias("n"), F.min("order_id").alias("first_order"))
 

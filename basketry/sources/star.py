@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketry.functions.positions import GROUP_LIMIT, grouped_position, largest_group
+from basketry.functions.positions import GROUP_LIMIT, grouped_position, join_null_safe, largest_group
 from basketry.session import materialize
 
 # The department number of each part type.
@@ -53,7 +53,8 @@ class BasketTables:
     def _derived_orders(self) -> DataFrame:
         """One row per order with its sequence number, split and gap to the previous order.
 
-        The calendar of each user (one row per user and day) carries the sequence offset and the
+        Orders without a user count as those of one unknown user, and orders without a date come last. The
+        calendar of each user (one row per user and day) carries the sequence offset and the
         previous day, so only the orders of a single day are sorted together.
         """
         raw = self._scan("orders").select(
@@ -62,7 +63,7 @@ class BasketTables:
             F.col("o_orderdate").alias("placed"),
             F.to_date("o_orderdate").alias("day"),
         )
-        by_day = Window.partitionBy("user_id").orderBy("day")
+        by_day = Window.partitionBy("user_id").orderBy(F.asc_nulls_last("day"))
         whole = Window.partitionBy("user_id")
         calendar = (
             raw.groupBy("user_id", "day")
@@ -75,10 +76,10 @@ class BasketTables:
                 F.lag("day").over(by_day).alias("previous_day"),
             )
         )
-        in_day = F.row_number().over(Window.partitionBy("user_id", "day").orderBy("placed", "order_id"))
-        placed = raw.withColumn("in_day", in_day).join(calendar, ["user_id", "day"])
+        in_day = F.row_number().over(Window.partitionBy("user_id", "day").orderBy(F.asc_nulls_last("placed"), F.asc_nulls_last("order_id")))
+        placed = join_null_safe(raw.withColumn("in_day", in_day), calendar, ["user_id", "day"])
         number = (F.col("before") + F.col("in_day")).cast("bigint")
-        gap = F.when(F.col("in_day") > 1, F.lit(0)).otherwise(F.datediff("day", "previous_day"))
+        gap = F.when((F.col("in_day") > 1) & F.col("day").isNotNull(), F.lit(0)).otherwise(F.datediff("day", "previous_day"))
         return placed.select(
             "order_id",
             "user_id",
@@ -122,7 +123,7 @@ class BasketTables:
         """Distinct (order, user, product, split) without cart position and reorder flag."""
         if self.staged:
             return self.line_facts.select("order_id", "product_id", "user_id", "eval_set", "order_number")
-        return self._derived_lines().select("order_id", "product_id").join(self._basket_keys(), "order_id")
+        return self._derived_lines().select("order_id", "product_id").join(self._basket_keys(), "order_id", "left")
 
     def _basket_keys(self) -> DataFrame:
         return self.orders.select("order_id", "user_id", "eval_set", "order_number")
@@ -133,7 +134,7 @@ class BasketTables:
         return materialize(facts, "lines", split_by="eval_set", kept=self.kept) if self.staged else facts
 
     def _derived_facts(self) -> DataFrame:
-        """Line items with the columns of their order, one row per (order, product)."""
+        """Line items with the columns of their order, one row per (order, product); without an order, these are null."""
         placed = grouped_position(
             self._derived_lines(),
             ["order_id"],
@@ -142,15 +143,17 @@ class BasketTables:
             "add_to_cart_order",
             largest=self.largest_order,
         )
-        joined = placed.drop("first_line").join(self.orders, "order_id")
+        joined = placed.drop("first_line").join(self.orders, "order_id", "left")
         if self.largest_user <= GROUP_LIMIT:
             # A user has a product at most once per order, which bounds the group.
-            first_number = F.min("order_number").over(Window.partitionBy("user_id", "product_id"))
+            # Lines without a user are spread by their order, since all of them together may be a large group.
+            unknown = F.when(F.col("user_id").isNull() & F.col("order_number").isNull(), F.col("order_id"))
+            first_number = F.min("order_number").over(Window.partitionBy("user_id", "product_id", unknown))
             joined = joined.withColumn("first_number", first_number)
         else:
             owned = self._derived_lines().select("order_id", "product_id").join(self._basket_keys(), "order_id")
             first = owned.groupBy("user_id", "product_id").agg(F.min("order_number").alias("first_number"))
-            joined = joined.join(first, ["user_id", "product_id"])
+            joined = join_null_safe(joined, first, ["user_id", "product_id"], "left")
         return joined.select(
             "order_id",
             "product_id",
