@@ -7,12 +7,12 @@ weighted probabilities of the nodes with one more byte of context. Given the cou
 probability of the next bit is a weighted mean of the KT predictions along its path; a context that was never seen
 predicts one half. The log of a text's probability includes its end, a byte that no text holds.
 
-All of it is DataFrame work on counts, and nothing is sent whole to a task or the driver:
+Nothing is sent whole to a task or the driver:
 
 * texts are dealt by hash into batches of about ``BATCH_CHARS`` characters; a batch asks for its distinct n-grams and
-  words only, so a request row stands for all their places in it;
-* counts are summed per n-gram; each level of the tree is one grouped sum of the level below, and the mixing weights come
-  down again level by level;
+  words only, so a request stands for all their places in it; requests travel sorted and compressed, dealt into parts;
+* a part holds whole subtrees (all n-grams with the same last two bytes of context); it sums their counts, weighs its nodes
+  from the longest contexts up, and after the few shorter contexts are weighed comes down again with the mixture;
 * the log probability of each requested n-gram goes back to the batches that asked for it, where every place adds it.
 
 The base score is that of smoothed word counts, which take the same way. Defined results: null text is the empty text; a
@@ -22,18 +22,21 @@ one bit and ``base_score`` is that of counts of zero.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from basketry.llm.hashing import LOWER, chunks, joined, span_hashes, word_spans
+from basketry.llm.hashing import LOWER, chunks, joined, mixed, span_hashes, word_spans
 from basketry.llm.toxicity import held_out
 from basketry.session import materialize
 
 DEPTH = 5
-BATCH_CHARS = 16_000_000
+TOP = 2  # shorter contexts are few and are handled apart
+BATCH_CHARS = 24_000_000
 PORTION = 2_000_000  # bytes looked at together
 END = 255  # no byte of a UTF-8 text; also stands before its start
 GRAM, WORD = 0, 1
@@ -114,22 +117,56 @@ def lowered(texts: pd.Series) -> list[bytes]:
     return [t.encode().translate(LOWER) for t in texts]
 
 
-def requests(docs: DataFrame, depth: int) -> DataFrame:
-    """``(kind, key, batch, n)``: the distinct n-grams and words of every batch, with their counts in its training texts."""
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers as differences, compressed byte plane by byte plane."""
+    steps = np.diff(values, prepend=0).astype("<i8")
+    return zlib.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<i8").ravel())
+
+
+def part_of(kind: int, keys: np.ndarray, depth: int, parts: int) -> np.ndarray:
+    """N-grams with the same last two bytes of context belong to one part, words are dealt by their hash."""
+    h = mixed((keys >> 8 * (depth - 1)).view(np.uint64)) if kind == GRAM else keys.view(np.uint64)
+    return ((h >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
+
+
+def distinct_keys(texts: list[bytes], train: np.ndarray, depth: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Sorted distinct n-grams and words of texts, with their counts in the texts to learn from."""
+    found: dict[int, list] = {GRAM: [], WORD: []}
+    for part in chunks([len(t) for t in texts], PORTION):
+        keys, starts = grams_of(texts[part], depth)
+        sizes = np.diff(np.append(starts, len(keys)))
+        found[GRAM].append(counted(keys, np.repeat(train[part], sizes).astype(float)))
+        keys, owner = words_of(texts[part])
+        found[WORD].append(counted(keys, train[part][owner].astype(float)))
+    return {kind: merged(parts) for kind, parts in found.items()}
+
+
+def requests(docs: DataFrame, depth: int, parts: int) -> DataFrame:
+    """The distinct n-grams and words of every batch with their counts in its training texts, packed by part."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         texts, train = lowered(group["text"]), ~group["held_out"].to_numpy(bool)
-        found: dict[int, list] = {GRAM: [], WORD: []}
-        for part in chunks([len(t) for t in texts], PORTION):
-            keys, starts = grams_of(texts[part], depth)
-            sizes = np.diff(np.append(starts, len(keys)))
-            found[GRAM].append(counted(keys, np.repeat(train[part], sizes).astype(float)))
-            keys, owner = words_of(texts[part])
-            found[WORD].append(counted(keys, train[part][owner].astype(float)))
-        rows = [(kind, *merged(parts)) for kind, parts in found.items()]
-        return pd.concat([pd.DataFrame({"kind": kind, "key": k, "batch": group["batch"].iloc[0], "n": n.astype(np.int64)}) for kind, k, n in rows])
+        rows = []
+        for kind, (keys, n) in distinct_keys(texts, train, depth).items():
+            part = part_of(kind, keys, depth, parts)
+            for p in np.unique(part).tolist():
+                own = part == p
+                rows.append((kind, p, group["batch"].iloc[0], packed(keys[own]), packed(n[own].astype(np.int64))))
+        return pd.DataFrame(rows, columns=["kind", "part", "batch", "keys", "n"])
 
-    return docs.groupBy("batch").applyInPandas(run, "kind int, key long, batch int, n long")
+    return docs.groupBy("batch").applyInPandas(run, "kind int, part int, batch int, keys binary, n binary")
+
+
+def totals(rows: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The keys of each row, and all distinct keys with their counts."""
+    asked = [unpacked(k) for k in rows["keys"]]
+    keys, n = merged([(k, unpacked(c).astype(float)) for k, c in zip(asked, rows["n"], strict=True)])
+    return asked, keys, n
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -153,83 +190,161 @@ def kt_udf(zeros: pd.Series, ones: pd.Series) -> pd.Series:
     return pd.Series(kt_log(zeros.to_numpy(float), ones.to_numpy(float)))
 
 
-def bits(grams: DataFrame) -> DataFrame:
-    """The eight decisions of every n-gram: node (a one and the bits so far) and bit."""
-    step = F.explode(F.sequence(F.lit(0), F.lit(7))).alias("step")
-    symbol = F.col("key").bitwiseAND(255)
-    rows = grams.select("*", F.shiftright("key", 8).alias("context"), symbol.alias("symbol"), step)
-    return rows.select("*", F.expr("shiftright(256L | symbol, 8 - step)").alias("node"), F.expr("shiftright(symbol, 7 - step) & 1L").alias("bit"))
+class Subtrees:
+    """The nodes of depth ``TOP`` and below of whole contexts, from the sorted n-grams of a part and their counts.
 
+    N-grams are sorted, so the nodes of a depth and a number of known bits are runs of them. ``level[d][s]`` holds for each
+    such node the counts, the log of its weighted probability, the share of its own estimate, and its node one context
+    shorter. N-grams without counts are nodes too: they predict one half, as everything that was never seen.
+    """
 
-def tree(counts: DataFrame, depth: int) -> list[DataFrame]:
-    """For each depth ``(context, node, p, sure)``: the predicted probability of a one when no longer context is known,
-    and the part of it that longer contexts no longer change."""
-    leaf = bits(counts.where("n > 0")).groupBy("context", "node").agg(F.sum(F.expr("if(bit = 0, n, 0L)")).alias("zeros"), F.sum(F.expr("if(bit = 1, n, 0L)")).alias("ones"))
+    def __init__(self, keys: np.ndarray, n: np.ndarray, depth: int):
+        self.keys, self.depth = keys, depth
+        codes, self.level, self.rows = keys, {}, {}
+        for d in range(depth, TOP - 1, -1):
+            if d < depth:  # one byte of context less
+                short = codes >> 16 << 8 | codes & 255
+                codes, inverse = np.unique(short, return_inverse=True)
+                n = np.bincount(inverse, n, len(codes))
+            self.level[d], self.rows[d] = [], []
+            for s in range(8):
+                prefix = codes >> 8 - s
+                new = np.ones(len(codes), bool)
+                new[1:] = prefix[1:] != prefix[:-1]
+                start = np.flatnonzero(new)
+                one = (codes >> 7 - s & 1).astype(bool)
+                zeros, ones = np.add.reduceat(np.where(one, 0.0, n), start), np.add.reduceat(np.where(one, n, 0.0), start)
+                node = {"code": prefix[start], "zeros": zeros, "ones": ones, "own": kt_log(zeros, ones)}
+                if d == depth:
+                    node["weighted"], node["share"] = node["own"], np.ones(len(start))
+                else:
+                    below = self.level[d + 1][s]
+                    above = below["code"] >> s + 8 << s | below["code"] & (1 << s) - 1
+                    below["above"] = np.searchsorted(node["code"], above)
+                    longer = np.bincount(below["above"], below["weighted"], len(start))
+                    node["weighted"] = np.logaddexp(node["own"], longer) - np.log(2.0)
+                    node["share"] = 1 / (1 + np.exp(np.clip(longer - node["own"], -700, 700)))
+                self.level[d].append(node)
+                self.rows[d].append(np.cumsum(new) - 1)
+
+    def top(self) -> pd.DataFrame:
+        """The nodes of depth ``TOP``."""
+        parts = []
+        for s, node in enumerate(self.level[TOP]):
+            names = {"context": node["code"] >> s, "node": 1 << s | node["code"] & (1 << s) - 1}
+            parts.append(pd.DataFrame(names | {c: node[c] for c in ("zeros", "ones", "weighted")}))
+        return pd.concat(parts)
+
+    def log_probabilities(self, above: pd.DataFrame) -> np.ndarray:
+        """Log10 probability of the last byte of every n-gram, given what the shorter contexts predict: ``known`` is
+        settled, ``open`` the weight that is left, by ``(context, node)``."""
+        names = above["context"].to_numpy() << 8 | above["node"].to_numpy()
+        order = np.argsort(names)
+        names = names[order]
+        shorter = {c: above[c].to_numpy()[order] for c in ("known", "open")}
+        total = np.zeros(len(self.keys))
+        for s in range(8):
+            for d in range(TOP, self.depth + 1):
+                node = self.level[d][s]
+                if d == TOP:
+                    at = np.searchsorted(names, node["code"] >> s << 8 | 1 << s | node["code"] & (1 << s) - 1)
+                    known, rest = shorter["known"][at], shorter["open"][at]
+                else:
+                    known, rest = known[node["above"]], rest[node["above"]]
+                one = (node["ones"] + 0.5) / (node["zeros"] + node["ones"] + 1.0)
+                known, rest = known + rest * node["share"] * one, rest * (1 - node["share"])
+            p = (known + rest / 2)[self.rows[self.depth][s]]
+            total += np.log10(np.where(self.keys >> 7 - s & 1, p, 1 - p))
+        return total
+
+
+def predicted_above(top: DataFrame) -> DataFrame:
+    """``(part, context, node, known, open)`` for the nodes of depth ``TOP``: what shorter contexts predict. These are at most
+    255 nodes for each of 65,536 contexts, whatever the corpus."""
     own = kt_udf("zeros", "ones")
-    level = materialize(leaf.withColumn("weighted", own).withColumn("share", F.lit(1.0)), f"ctw-level-{depth}")
-    levels = [level]
-    for d in range(depth - 1, -1, -1):
-        below = level.groupBy(F.shiftright("context", 8).alias("context"), "node").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("longer"))
+    levels = [top.select("context", "node", "zeros", "ones", "weighted")]
+    for _ in range(TOP):
+        below = levels[0].groupBy(F.shiftright("context", 8).alias("context"), "node").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("longer"))
         below = below.withColumn("own", own)
         # log(e^own / 2 + e^longer / 2), and the posterior share of this depth's own estimate
         most = F.greatest("own", "longer")
         weighted = most + F.log(F.exp(F.col("own") - most) + F.exp(F.col("longer") - most)) - F.log(F.lit(2.0))
         share = 1 / (1 + F.exp(F.least(F.col("longer") - F.col("own"), F.lit(700.0))))
-        level = materialize(below.select("context", "node", "zeros", "ones", weighted.alias("weighted"), share.alias("share")), f"ctw-level-{d}")
-        levels.insert(0, level)
+        levels.insert(0, materialize(below.select("context", "node", "zeros", "ones", weighted.alias("weighted"), share.alias("share")), "ctw-level"))
     one = (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1.0)
-    out: list[DataFrame] = []
-    for d, level in enumerate(levels):
-        if d == 0:
-            mixed = level.select("context", "node", (F.col("share") * one).alias("known"), (1 - F.col("share")).alias("open"))
-        else:
-            above = out[-1].select(F.col("context").alias("shorter"), "node", F.col("known").alias("known_above"), F.col("open").alias("open_above"))
-            both = level.withColumn("shorter", F.shiftright("context", 8)).join(above, ["shorter", "node"])
-            known = F.col("known_above") + F.col("open_above") * F.col("share") * one
-            mixed = both.select("context", "node", known.alias("known"), (F.col("open_above") * (1 - F.col("share"))).alias("open"))
-        out.append(materialize(mixed, f"ctw-mixed-{d}"))
-    return out
-
-
-def gram_scores(counts: DataFrame, depth: int) -> DataFrame:
-    """``(key, value)``: the log10 probability of the last byte of every requested n-gram after its context."""
-    levels = tree(counts, depth)
-    asked = bits(counts.select("key", "n")).select("key", "context", "node", "bit", "n")
-    # A node that the longest context lacks is looked up at the next shorter one.
-    probability = F.col("known") + F.col("open") / 2
-    answered, left = [], asked
-    for d in range(depth, -1, -1):
-        looked = left.join(levels[d].select("context", "node", "known", "open"), ["context", "node"], "left")
-        answered.append(looked.where(F.col("known").isNotNull()).select("key", "bit", probability.alias("p")))
-        left = materialize(looked.where(F.col("known").isNull()).select("key", F.shiftright("context", 8).alias("context"), "node", "bit"), f"ctw-open-{d}")
-    answered.append(left.select("key", "bit", F.lit(0.5).alias("p")))
-    every = answered[0]
-    for more in answered[1:]:
-        every = every.unionByName(more)
-    return every.groupBy("key").agg(F.sum(F.log10(F.when(F.col("bit") == 1, F.col("p")).otherwise(1 - F.col("p")))).alias("value"))
+    mixed_in = levels[0].select("context", "node", (F.col("share") * one).alias("known"), (1 - F.col("share")).alias("open"))
+    for level in levels[1:TOP]:
+        above = mixed_in.select(F.col("context").alias("shorter"), "node", F.col("known").alias("known_above"), F.col("open").alias("open_above"))
+        both = level.withColumn("shorter", F.shiftright("context", 8)).join(above, ["shorter", "node"])
+        known = F.col("known_above") + F.col("open_above") * F.col("share") * one
+        mixed_in = both.select("context", "node", known.alias("known"), (F.col("open_above") * (1 - F.col("share"))).alias("open"))
+    above = mixed_in.select(F.col("context").alias("shorter"), "node", "known", "open")
+    return top.withColumn("shorter", F.shiftright("context", 8)).join(above, ["shorter", "node"]).select("part", "context", "node", "known", "open")
+
+
+ANSWERS = "kind int, part int, batch int, answers binary, n long, v long"
+
+
+def gram_answers(asked: DataFrame, depth: int) -> DataFrame:
+    """For every request for n-grams their log10 probabilities, in its order."""
+
+    def up(rows: pd.DataFrame) -> pd.DataFrame:
+        _, keys, n = totals(rows)
+        return Subtrees(keys, n, depth).top().assign(part=rows["part"].iloc[0])[["part", "context", "node", "zeros", "ones", "weighted"]]
+
+    def down(rows: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
+        each, keys, n = totals(rows)
+        value = Subtrees(keys, n, depth).log_probabilities(above).astype("<f4")
+        answers = [value[np.searchsorted(keys, k)].tobytes() for k in each]
+        return pd.DataFrame({"kind": GRAM, "part": rows["part"], "batch": rows["batch"], "answers": answers, "n": 0, "v": 0})
+
+    fields = "part int, context long, node long, zeros double, ones double, weighted double"
+    top = materialize(asked.groupBy("part").applyInPandas(up, fields), "ctw-top")
+    return asked.groupBy("part").cogroup(predicted_above(top).groupBy("part")).applyInPandas(down, ANSWERS)
+
+
+def word_answers(asked: DataFrame) -> DataFrame:
+    """For every request for words their counts, in its order; the first of a part brings how many words were learned."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        each, keys, n = totals(rows)
+        first = np.arange(len(rows)) == 0
+        answers = [packed(n[np.searchsorted(keys, k)].astype(np.int64)) for k in each]
+        return pd.DataFrame({"kind": WORD, "part": rows["part"], "batch": rows["batch"], "answers": answers, "n": np.where(first, int(n.sum()), 0), "v": np.where(first, int((n > 0).sum()), 0)})
+
+    return asked.groupBy("part").applyInPandas(run, ANSWERS)
 
 
 def score(docs: DataFrame, depth: int = DEPTH, batch_chars: int = BATCH_CHARS) -> DataFrame:
     """Scores of ``(doc_id, text, held_out)``; texts that are not held out are learned from."""
+    if not TOP <= depth <= 7:
+        raise ValueError(f"depth must be {TOP} to 7")
     size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     batches = max(1, -(-size // batch_chars))
+    parts = 2 * batches
     fields = ["doc_id", "text", "held_out", F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)).cast("int").alias("batch")]
     dealt = docs.select(*fields)
-    asked = materialize(requests(dealt, depth), "ctw-requests")
-    totals = asked.groupBy("kind", "key").agg(F.sum("n").alias("n"))
-    words = materialize(totals.where(F.col("kind") == WORD).select("key", "n"), "ctw-words")
-    facts = words.agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
+    asked = materialize(requests(dealt, depth, parts), "ctw-requests")
+    words = materialize(word_answers(asked.where(F.col("kind") == WORD)), "ctw-words")
+    facts = words.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     ends = docs.where(~F.col("held_out")).count()
     n_train, v_train = (facts["n"] or 0) + ends, (facts["v"] or 0) + (ends > 0)
-    grams = materialize(totals.where(F.col("kind") == GRAM).select("key", "n"), "ctw-grams")
-    values = gram_scores(grams, depth).withColumn("kind", F.lit(GRAM)).unionByName(words.select("key", F.col("n").cast("double").alias("value"), F.lit(WORD).alias("kind")))
-    given = asked.select("kind", "key", "batch").join(values, ["kind", "key"]).select("batch", "kind", "key", "value")
+    given = gram_answers(asked.where(F.col("kind") == GRAM), depth).unionByName(words).select("batch", "kind", "part", "answers")
     below = np.log10(n_train + v_train + 1.0)
 
     def run(texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        kind, key, value = answers["kind"].to_numpy(), answers["key"].to_numpy(), answers["value"].to_numpy()
-        log_p, n_word = (Lookup(key[kind == k], value[kind == k], 0.0) for k in (GRAM, WORD))
         raw = lowered(texts["text"])
+        keys_of = distinct_keys(raw, np.zeros(len(raw), bool), depth)
+        by_part = {(k, p): a for k, p, a in zip(answers["kind"], answers["part"], answers["answers"], strict=True)}
+        lookups = []
+        for kind in (GRAM, WORD):
+            keys = keys_of[kind][0]
+            part, value = part_of(kind, keys, depth, parts), np.zeros(len(keys))
+            for p in np.unique(part).tolist():
+                told = by_part[kind, p]
+                value[part == p] = np.frombuffer(told, "<f4") if kind == GRAM else unpacked(told)
+            lookups.append(Lookup(keys, value, 0.0))
+        log_p, n_word = lookups
         out = {c: np.zeros(len(raw)) for c in ("n_tokens", "n_known", "base_score", "score", "bits_per_byte")}
         for part in chunks([len(t) for t in raw], PORTION):
             keys, starts = grams_of(raw[part], depth)
