@@ -14,7 +14,7 @@ A document's set holds the hashes of its distinct five-word shingles. Sets ``A``
 * Equal sets are one node from the start. Keys travel packed: a row is what a portion of texts sends to one part, which
   holds about ``PART_KEYS`` keys.
 * In a run of equal keys every member is compared with the run's first, never all with all. Members that are then in
-  different components of a run are compared with members of its largest component drawn anew, twice; what still is
+  different components of a run are compared with a member of its largest component drawn anew; what still is
   apart is compared with all of the run, as far as sizes and the Hamming distance of 1024-bit sketches allow a link. So
   a large group of near copies costs a few comparisons a member, and no pair that shares a key is left undecided.
 * Pairs are verified exactly on the shingles of the whole texts, in groups dealt by hash.
@@ -39,15 +39,15 @@ from basketry.session import materialize
 
 WIDTH = 5
 NUM, DEN = 3, 4  # links: |A & B| / |A | B| >= NUM / DEN
-PORTION = 6_000_000  # bytes of text looked at together
-PART_KEYS = 1_500_000
+PORTION = 2_000_000  # bytes of text looked at together
+PART_KEYS = 500_000
 KEYS_PER_WORD = 0.8
 LEAST_BLOCKS = 48  # of all sketches of a band together
-HELD_KEYS = 6_000_000  # keys a task holds before it reduces runs to their first members
-VERIFY_CHARS = 8_000_000
+HELD_KEYS = 1_500_000  # keys a task holds before it reduces runs to their first members
+VERIFY_CHARS = 4_000_000
 CHUNK = 256  # pairs of one text that are verified in one group
 SKETCH_WORDS = 16
-DRAWS = 2
+DRAWS = 1
 
 
 class Sets:
@@ -153,16 +153,16 @@ def texts_of(docs: DataFrame) -> DataFrame:
 
 
 def named_sets(texts: DataFrame) -> DataFrame:
-    """``(row, doc_id, n, name)`` of every row."""
+    """``(row, doc_id, n, name, sketch)`` of every row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             raw = [t.encode() for t in batch["text"]]
             for part in chunks([len(t) for t in raw], PORTION):
                 sets = Sets(raw[part])
-                yield pd.DataFrame({"row": batch["row"][part], "doc_id": batch["doc_id"][part], "n": sets.sizes, "name": sets.names})
+                yield pd.DataFrame({"row": batch["row"][part], "doc_id": batch["doc_id"][part], "n": sets.sizes, "name": sets.names, "sketch": list(sets.sketches().view(np.int64))})
 
-    return texts.mapInPandas(run, "row long, doc_id long, n long, name long")
+    return texts.mapInPandas(run, "row long, doc_id long, n long, name long, sketch array<long>")
 
 
 def pack(keys: np.ndarray, of: np.ndarray, sets: Sets, parts: int) -> pd.DataFrame:
@@ -245,6 +245,21 @@ def linked(size_a: int, size_b: int, common: int) -> bool:
     return DEN * common >= NUM * (size_a + size_b - common)
 
 
+def plausible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)`` that sizes and the Hamming distance of their sketches allow to link."""
+    left = sketches.select(F.col("name").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    right = sketches.select(F.col("name").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    return pairs.join(left, "a").join(right, "b").where(may_link()).select("a", "b")
+
+
+def may_link():
+    distance = F.lit(0)
+    for k in range(SKETCH_WORDS):
+        distance = distance + F.bit_count(F.col("sa")[k].bitwiseXOR(F.col("sb")[k]))
+    sizes = DEN * F.least("na", "nb") >= NUM * F.greatest("na", "nb")
+    return sizes & (distance * (DEN + NUM) <= (F.col("na") + F.col("nb")) * (DEN - NUM))
+
+
 def verified(pairs: DataFrame, texts: DataFrame, chars: int) -> DataFrame:
     """The pairs ``(a, b)`` of set names that link; ``texts`` has ``(name, text)``, ``chars`` all their characters."""
     groups = max(1, -(-4 * chars // VERIFY_CHARS))
@@ -257,14 +272,10 @@ def verified(pairs: DataFrame, texts: DataFrame, chars: int) -> DataFrame:
         out = []
         if len(asked) and len(given):
             sets = Sets([t.encode() for t in given["text"]])
-            sketch = sets.sketches()
             place = {name: k for k, name in enumerate(given["name"].tolist())}
             for a, b in zip(asked["a"].tolist(), asked["b"].tolist(), strict=True):
                 i, j = place[a], place[b]
-                n, m = int(sets.sizes[i]), int(sets.sizes[j])
-                if (DEN + NUM) * int(np.bitwise_count(sketch[i] ^ sketch[j]).sum()) > (DEN - NUM) * (n + m):
-                    continue  # the Hamming distance is at most the symmetric difference
-                if linked(n, m, len(np.intersect1d(sets.of(i), sets.of(j), assume_unique=True))):
+                if linked(int(sets.sizes[i]), int(sets.sizes[j]), len(np.intersect1d(sets.of(i), sets.of(j), assume_unique=True))):
                     out.append((a, b))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
@@ -278,14 +289,18 @@ def clusters(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     parts = max(1, int(-(-KEYS_PER_WORD * (named.agg(F.sum("n")).first()[0] or 0) // PART_KEYS)))
     runs = materialize(runs_of(packed_keys(texts, parts), parts), "parity-runs")
 
-    # The texts of sets that share a key, one for each.
-    wanted = runs.select(F.explode(F.array("lead", "member")).alias("name")).distinct()
-    place = named.join(wanted, "name").groupBy("name").agg(F.min("row").alias("row"))
-    found = texts.join(place.select("row").distinct(), "row", "left_semi").select("row", "text").groupBy("row").agg(F.first("text").alias("text"))
-    shared = materialize(found.join(place, "row").select("name", "text"), "parity-texts")
-    chars = shared.agg(F.sum(F.length("text"))).first()[0] or 0
+    sketches = materialize(named.where("n > 0").groupBy("name").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")), "parity-sketches")
 
-    links = materialize(verified(runs.where("may").select(F.col("lead").alias("a"), F.col("member").alias("b")).distinct(), shared, chars), "parity-links")
+    def checked(pairs: DataFrame) -> DataFrame:
+        """The pairs that link. Texts are fetched, one for each set, where sketches leave the question open."""
+        pairs = materialize(plausible(pairs, sketches), "parity-plausible")
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
+        place = named.join(wanted, "name").groupBy("name").agg(F.min("row").alias("row"))
+        found = texts.join(place.select("row").distinct(), "row", "left_semi").select("row", "text").groupBy("row").agg(F.first("text").alias("text"))
+        shared = materialize(found.join(place, "row").select("name", "text"), "parity-texts")
+        return verified(pairs, shared, shared.agg(F.sum(F.length("text"))).first()[0] or 0)
+
+    links = materialize(checked(runs.where("may").select(F.col("lead").alias("a"), F.col("member").alias("b")).distinct()), "parity-links")
     groups = components(links)
     members = runs.where("run >= 0").select("run", F.col("member").alias("name"))
     for draw in range(DRAWS + 1):
@@ -299,37 +314,23 @@ def clusters(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         if draw < DRAWS:
             drawn = F.xxhash64("name", F.lit(draw))
             per = apart.groupBy("run", "component").agg(F.count("*").alias("n"), F.min(F.struct(drawn.alias("d"), "name")).alias("drawn"))
-            largest = per.groupBy("run").agg(F.max(F.struct("n", "component", "drawn")).alias("m"))
+            largest = per.where("n > 1").groupBy("run").agg(F.max(F.struct("n", "component", "drawn")).alias("m"))
             largest = largest.select("run", F.col("m.component").alias("largest"), F.col("m.drawn.name").alias("a"))
             tried = apart.join(largest, "run").where(F.col("component") != F.col("largest")).select("a", F.col("name").alias("b"))
         else:
-            tried = undecided(apart, shared)
+            tried = undecided(apart, sketches)
         pairs = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = materialize(links.unionByName(verified(pairs, shared, chars)).distinct(), "parity-links")
+        links = materialize(links.unionByName(checked(pairs)).distinct(), "parity-links")
         groups = components(links)
-    return named, groups
+    return named.drop("sketch"), groups
 
 
-def undecided(apart: DataFrame, texts: DataFrame) -> DataFrame:
+def undecided(apart: DataFrame, sketches: DataFrame) -> DataFrame:
     """Pairs of a run that are in different components and may link by size and sketch."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            raw = [t.encode() for t in batch["text"]]
-            for part in chunks([len(t) for t in raw], PORTION):
-                sets = Sets(raw[part])
-                yield pd.DataFrame({"name": sets.names, "n": sets.sizes, "sketch": list(sets.sketches().view(np.int64))})
-
-    sketches = texts.join(apart.select("name").distinct(), "name", "left_semi").select("text").mapInPandas(run, "name long, n long, sketch array<long>")
-    sketches = materialize(sketches, "parity-sketches")
     side = apart.join(sketches, "name")
-    left = side.select("run", F.col("name").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), *[F.col("sketch")[k].alias(f"a{k}") for k in range(SKETCH_WORDS)])
-    right = side.select(F.col("run").alias("other"), F.col("name").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), *[F.col("sketch")[k].alias(f"b{k}") for k in range(SKETCH_WORDS)])
-    distance = F.lit(0)
-    for k in range(SKETCH_WORDS):
-        distance = distance + F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}")))
-    may = (DEN * F.least("na", "nb") >= NUM * F.greatest("na", "nb")) & (distance * (DEN + NUM) <= (F.col("na") + F.col("nb")) * (DEN - NUM))
-    return left.join(right, (F.col("run") == F.col("other")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & may).select("a", "b")
+    left = side.select("run", F.col("name").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    right = side.select(F.col("run").alias("other"), F.col("name").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    return left.join(right, (F.col("run") == F.col("other")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & may_link()).select("a", "b")
 
 
 def join_documents(docs: DataFrame) -> DataFrame:
