@@ -58,6 +58,11 @@ class Paragraphs:
             same = owner[k:] == owner[:-k]
             low[k:] &= ~same | (pair[k:] < pair[:-k])
             low[:-k] &= ~same | (pair[:-k] <= pair[k:])
+        # No paragraph is shorter than a shingle, unless the text is.
+        begin = np.flatnonzero(starts)
+        length = np.diff(np.append(begin, n))
+        place = np.arange(n) - np.repeat(begin, length)
+        low &= (place >= WIDTH) & (np.repeat(length, length) - place >= WIDTH)
         self.start = np.flatnonzero(starts | low)
         self.size = np.diff(np.append(self.start, n))
         self.text = owner[self.start]
@@ -122,7 +127,7 @@ def paragraph_texts(texts: DataFrame) -> DataFrame:
 
 def repeated(docs: DataFrame) -> DataFrame:
     """``(row, at, groups, keepers)``: positions of the paragraphs of a row that a smaller occurrence repeats, the group of each
-    and the document that keeps it."""
+    and the document that keeps it (``LAST`` for one without an id)."""
     texts = texts_of(docs)
     named = materialize(named_paragraphs(texts), "paragraphs")
     total = named.agg(F.sum(F.size("names"))).first()[0] or 0
@@ -149,9 +154,8 @@ def repeated(docs: DataFrame) -> DataFrame:
     row = held.where(F.col("doc_id") == F.col("keeper")).groupBy("component").agg(F.min("row").alias("row"))
     pos = held.join(row, ["component", "row"]).groupBy("component", "row").agg(F.min("pos").alias("pos"))
     gone = held.join(pos, ["component", "row", "pos"], "left_anti")
-    keeper = F.when(F.col("keeper") < LAST, F.col("keeper"))
     # A row of a text that occurs several times comes with equal places: they are one.
-    per_row = gone.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("pos", "component", keeper.alias("keeper")))).alias("g"))
+    per_row = gone.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("pos", "component", "keeper"))).alias("g"))
     return per_row.select("row", F.col("g.pos").alias("at"), F.col("g.component").alias("groups"), F.col("g.keeper").alias("keepers"))
 
 
@@ -172,7 +176,7 @@ def spans(rows: pd.DataFrame, min_words: int) -> Iterator[tuple[int, int, int, i
                 # The keeper named is the one that holds most of the span, and enough of it to be a passage.
                 by_keeper: dict[int, int] = {}
                 for g in run.tolist():
-                    if keepers[g] is not None:
+                    if keepers[g] != LAST:
                         by_keeper[keepers[g]] = by_keeper.get(keepers[g], 0) + int(found.size[begin[k] + at[g]])
                 keeper = max(by_keeper, key=lambda d: (by_keeper[d], -d)) if by_keeper else None
                 yield k, start, end, words, groups[run[0]], keeper if keeper is not None and by_keeper[keeper] >= min_words else None
@@ -215,7 +219,7 @@ def dedup_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         return pd.Series([b"".join([*left[k], raw[k][ends[k] :]]).decode() if k in left else t for k, t in enumerate(rows["text"])])
 
     rows = with_repeats(docs)
-    text = F.when(F.col("_at").isNotNull(), cut("text", "_at", "_groups", "_keepers")).otherwise(F.col("text"))
+    text = F.when(F.col("_at").isNotNull(), cut(F.coalesce(F.col("text").cast("string"), F.lit("")), "_at", "_groups", "_keepers")).otherwise(F.col("text"))
     return rows.withColumn("_text", text).withColumn("text", F.col("_text")).select(*docs.columns)
 
 
