@@ -14,7 +14,7 @@ from basketry.operators import candidates as C
 from basketry.operators import features as X
 from basketry.operators import similarity as S
 from basketry.plans.oracle import oracle
-from basketry.session import materialize, path_exists
+from basketry.session import materialize, path_exists, source_state
 from basketry.sources.star import BasketTables, load_star
 
 FOLD = 100
@@ -115,15 +115,18 @@ class Inputs:
         return C.ordered_columns(joined)
 
 
-_INPUTS: dict[tuple[str, str], Inputs] = {}
+SOURCES = ("orders", "lineitem", "part")
+_INPUTS: dict[tuple[str, str], tuple[tuple, Inputs]] = {}
 
 
 def inputs(spark: SparkSession, path: str) -> Inputs:
-    """The inputs of a data folder; built anew if one of their written tables is gone."""
+    """The inputs of a data folder; built anew if a source table has changed or one of their written tables is gone."""
     key = (spark.sparkContext.applicationId, path)
-    if key not in _INPUTS or not all(path_exists(spark, p) for p in _INPUTS[key].kept):
-        _INPUTS[key] = Inputs(spark, path)
-    return _INPUTS[key]
+    state = source_state(spark, [f"{path.rstrip('/')}/{t}.parquet" for t in SOURCES])
+    known = _INPUTS.get(key)
+    if known is None or known[0] != state or not all(path_exists(spark, p) for p in known[1].kept):
+        _INPUTS[key] = known = (state, Inputs(spark, path))
+    return known[1]
 
 
 def plain_types(df: DataFrame) -> DataFrame:

@@ -58,6 +58,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def source_state(spark: SparkSession, paths: list[str]) -> tuple:
+    """What changes when a table is written anew: time, total size and number of files. Two calls a table, however many
+    files it has."""
+    found = []
+    for path in paths:
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        system = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+        size = system.getContentSummary(hadoop)
+        found.append((path, system.getFileStatus(hadoop).getModificationTime(), size.getLength(), size.getFileCount()))
+    return tuple(found)
+
+
 def materialize(df: DataFrame, label: str = "table", split_by: str | None = None, kept: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
