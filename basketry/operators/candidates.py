@@ -15,13 +15,19 @@ FEATURE_COLUMNS = [*ORDER_COLUMNS, *SIMILARITY_COLUMNS, *USER_FEATURES, *PRODUCT
 # End of the fixed values.
 
 
-def expand_candidates(targets: DataFrame, history: DataFrame) -> DataFrame:
+def expand_candidates(targets: DataFrame, history: DataFrame, owners: DataFrame | None = None) -> DataFrame:
     """Every target order with all products its user bought before.
 
     The history is a long table, not a list per user, and brings further columns along. A user without
-    history keeps one row with a null product.
+    history keeps one row with a null product. Orders meet the history in an inner join, which Spark can split
+    where a user is hot (a left join's right side it cannot); the others are added by an anti join with
+    ``owners``, the users of the history, so give a cheap table of them if there is one.
     """
-    return targets.select("user_id", "order_id", *ORDER_COLUMNS).join(history, "user_id", "left")
+    wanted = targets.select("user_id", "order_id", *ORDER_COLUMNS)
+    found = wanted.join(history, "user_id")
+    users = (history if owners is None else owners).select("user_id").distinct()
+    alone = wanted.join(users, "user_id", "left_anti")
+    return found.unionByName(alone, allowMissingColumns=True)
 
 
 def attach_labels(candidates: DataFrame, target_lines: DataFrame) -> DataFrame:

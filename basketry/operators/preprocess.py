@@ -24,7 +24,7 @@ UNLOGGED = [
 ]
 # End of the fixed values.
 
-HASH_BITS = 52
+HASH_BITS = 44
 
 
 def skewed_columns(df: DataFrame, columns: Sequence[str], threshold: float = 1.0) -> DataFrame:
@@ -104,7 +104,10 @@ def fit_preprocessing(df: DataFrame, columns: Sequence[str], threshold: float =
 
 
 def seeded_hash(ids: Sequence[str], seed: int) -> Column:
-    return F.xxhash64(*[F.col(c) for c in ids], F.lit(seed))
+    """60 bits of the md5 of the ids and the seed, which SQL engines reproduce; nulls count as the word null."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in ids]
+    digest = F.md5(F.concat_ws("|", *parts, F.lit(str(seed))))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 
 
 def stratified_folds(df: DataFrame, ids: Sequence[str], label: str = "label", k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:

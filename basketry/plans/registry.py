@@ -97,7 +97,8 @@ class Inputs:
     def scored(self, split: str) -> DataFrame:
         """Candidates scored by the product's share in the user's history."""
         rates = X.pair_features(self.prior(self.folded), self.totals).select("user_id", "product_id", F.col("up_rate_in_user_history").alias("score"))
-        candidates = C.expand_candidates(X.split(self.folded.orders, split), rates).where(F.col("product_id").isNotNull())
+        orders = X.split(self.folded.orders, split).select("user_id", "order_id", *C.ORDER_COLUMNS)
+        candidates = orders.join(rates.where(F.col("product_id").isNotNull()), "user_id")
         return C.attach_labels(candidates, X.split(self.folded.baskets, "train")) if split == "train" else candidates
 
     def full(self, split: str) -> DataFrame:
@@ -108,7 +109,7 @@ class Inputs:
         """
         lines = self.prior(self.folded)
         history = X.pair_features(lines, self.totals).join(self.written_pair_scores, ["user_id", "product_id"])
-        candidates = C.expand_candidates(X.split(self.folded.orders, split), history)
+        candidates = C.expand_candidates(X.split(self.folded.orders, split), history, self.totals)
         joined = C.attach_features(candidates, X.user_features(lines, totals=self.totals), X.product_features(lines, self.totals))
         if split == "train":
             joined = C.attach_labels(joined, X.split(self.folded.baskets, "train"))

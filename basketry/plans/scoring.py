@@ -377,18 +377,39 @@ def _(i: Inputs):
     return Q.scales(i.full("train"), _NUMERIC)
 
 
-@query("q05_stratified_folds")
+def _seeded(*ids: str) -> str:
+    """``preprocess.seeded_hash`` in SQL."""
+    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'null')" for c in ids)
+    return f"CAST('0x' || substr(md5(concat_ws('|', {parts}, '42')), 1, 15) AS BIGINT)"
+
+
+_SCORED = "(SELECT * FROM f_cand WHERE eval_set = 'train' AND product_id IS NOT NULL)"
+
+
+@query(
+    "q05_stratified_folds",
+    f"""SELECT label, (nth - 1) % 5 AS fold, count(*) AS n, CAST(sum(order_id) AS BIGINT) AS sum_order_id FROM (
+      SELECT *, row_number() OVER (PARTITION BY label ORDER BY {_seeded(*C.ID_COLUMNS)}, user_id, order_id, product_id) AS nth FROM {_SCORED}
+    ) GROUP BY 1, 2""",
+)
 def _(i: Inputs):
     folds = Q.stratified_folds(i.scored("train").select(*C.ID_COLUMNS, "label"), C.ID_COLUMNS)
-    return folds.groupBy("label", "fold").agg(F.count("*").alias("n"))
+    return folds.groupBy("label", "fold").agg(F.count("*").alias("n"), F.sum("order_id").alias("sum_order_id"))
 
 
-@query("k01_user_split")
+@query(
+    "k01_user_split",
+    f"""SELECT CAST({_seeded("user_id")} % 100 < 20 AS BIGINT) AS is_valid, count(DISTINCT user_id) AS n_users, count(*) AS n_rows FROM {_SCORED} GROUP BY 1""",
+)
 def _(i: Inputs):
     return Q.user_split(i.scored("train")).groupBy("is_valid").agg(F.countDistinct("user_id").alias("n_users"), F.count("*").alias("n_rows"))
 
 
-@query("f15_seeded_sample")
+@query(
+    "f15_seeded_sample",
+    f"""SELECT user_id, order_id, product_id, label FROM {_SCORED}
+      ORDER BY {_seeded(*C.ID_COLUMNS)}, user_id, order_id, product_id LIMIT 200""",
+)
 def _(i: Inputs):
     return Q.seeded_sample(i.scored("train"), 200, C.ID_COLUMNS).select(*C.ID_COLUMNS, "label")
 
