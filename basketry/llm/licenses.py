@@ -173,3 +173,28 @@ def scan(
 def op9_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return scan(docs).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def scan_sql(phrases: dict[str, str] = PHRASES, templates: dict[str, str] = TEMPLATES, containment: float = CONTAINMENT) -> str:
+    """The same result in DuckDB, without filters or frequencies."""
+    words = lambda text: f"regexp_extract_all(translate({text}, '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    listed = lambda ws: "[" + ", ".join(f"'{w}'" for w in ws) + "]"
+    places, names, shares, more = [], [], [], []
+    for k, (text, label) in enumerate(phrases.items()):
+        p = text.split()
+        places.append(f"list_filter(range(0, greatest(len(ws) - {len(p) - 1}, 0)), lambda i: ws[i + 1:i + {len(p)}] = {listed(p)}) AS p{k}")
+        names.append(f"CASE WHEN len(p{k}) > 0 THEN '{label}' END")
+    for k, (label, text) in enumerate(templates.items()):
+        t = sorted(set(text.split()))
+        need = math.ceil(containment * len(t) - 1e-9)
+        shares.append(f"list_max(list_transform(ls, lambda x: CASE WHEN len(list_intersect({listed(t)}, x)) >= {need} THEN len(list_intersect({listed(t)}, x)) / {float(len(t))} ELSE 0.0 END)) AS t{k}")
+        more.append(f"CASE WHEN t{k} > 0 THEN '{label.removesuffix('-short')}' END")
+    every = " || ".join(f"p{k}" for k in range(len(places)))
+    text_of = lambda labels: f"array_to_string(list_sort(list_distinct(list_filter([{', '.join(labels)}], lambda x: x IS NOT NULL))), ',')"
+    return f"""
+    WITH w AS (
+      SELECT doc_id, {words("coalesce(text, '')")} AS ws, list_transform(string_split(coalesce(text, ''), chr(10)), lambda l: {words("l")}) AS ls FROM documents
+    ), f AS (SELECT doc_id, len(ws) AS n_words, {", ".join(places)}, {", ".join(shares)} FROM w)
+    SELECT doc_id, n_words, len({every}) AS n_base, list_min({every}) AS first_word, list_max({every}) AS last_word, {text_of(names)} AS base_labels,
+      {text_of(names + more)} AS labels, CASE WHEN len({every}) > 0 THEN 1.0::DOUBLE ELSE greatest({", ".join(f"t{k}" for k in range(len(shares)))})::DOUBLE END AS score
+    FROM f"""

@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from basketry.llm.ann import op1_adaptive_scan
 from basketry.llm.bpe import op10_byte_bpe
 from basketry.llm.context_tree import op5_context_tree
-from basketry.llm.licenses import op9_license_join
+from basketry.llm.licenses import op9_license_join, scan_sql
 from basketry.llm.lines import op8_fuzzy_lines
 from basketry.llm.packing import op3_grouped_packing
 from basketry.llm.paragraphs import op4_paragraph_minhash
-from basketry.llm.parity import op7_parity_join
+from basketry.llm.parity import OP7_SQL, op7_parity_join
 from basketry.llm.topk import OP2_SQL, op2_nra_top_k
 from basketry.llm.toxicity import op6_nnpu_toxicity
 
@@ -32,4 +32,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op2_nra_top_k": OP2_SQL,
+    "op7_parity_join": OP7_SQL,
+    "op9_license_join": scan_sql(),
 }
