@@ -133,7 +133,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     total = named.agg(F.sum(F.size("names"))).first()[0] or 0
     parts = max(1, -(-total * BANDS // PART_KEYS))
     runs = runs_of(band_keys(texts, parts), parts)
-    pairs = materialize(runs.where("may").select(F.col("lead").alias("a"), F.col("member").alias("b")).distinct(), "paragraph-pairs")
+    pairs = materialize(runs.select(F.col("lead").alias("a"), F.col("member").alias("b")).distinct(), "paragraph-pairs")
 
     # The words of the paragraphs to verify come from one row for each.
     each = named.select("row", "doc_id", F.posexplode("names").alias("pos", "name")).where("name <> 0")

@@ -166,20 +166,18 @@ def named_sets(texts: DataFrame) -> DataFrame:
 
 
 def pack(keys: np.ndarray, of: np.ndarray, sets: Sets, parts: int) -> pd.DataFrame:
-    """One row for each part: its keys, and the names and sizes of their sets."""
+    """One row for each part: its keys of 32 bits and the name of the set of each, 12 bytes a key however many parts there are."""
     to = ((keys >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
     order = np.argsort(to, kind="stable")
     keys, of, to = keys[order].astype(np.uint32), of[order], to[order]
     rows = []
     edges = np.flatnonzero(np.diff(to, prepend=-1, append=-1))
     for a, b in zip(edges[:-1], edges[1:], strict=True):
-        who, at = np.unique(of[a:b], return_inverse=True)
-        at = at.astype(np.uint32 if len(who) > 65535 else np.uint16)
-        rows.append((int(to[a]), keys[a:b].tobytes(), at.tobytes(), sets.names[who].tobytes(), sets.sizes[who].tobytes()))
-    return pd.DataFrame(rows, columns=["part", "keys", "at", "names", "sizes"])
+        rows.append((int(to[a]), keys[a:b].tobytes(), sets.names[of[a:b]].tobytes()))
+    return pd.DataFrame(rows, columns=["part", "keys", "names"])
 
 
-PACKED = "part int, keys binary, at binary, names binary, sizes binary"
+PACKED = "part int, keys binary, names binary"
 
 
 def packed_keys(texts: DataFrame, parts: int) -> DataFrame:
@@ -199,37 +197,34 @@ def packed_keys(texts: DataFrame, parts: int) -> DataFrame:
 
 
 def runs_of(packed: DataFrame, parts: int) -> DataFrame:
-    """``(run, lead, member, may)`` of every key that several sets have: its first set and each other one, and whether their
-    sizes allow a link. Runs of two are not named, as no other pair is in them; their pair comes once a task."""
+    """``(run, lead, member)`` of every key that several sets have: its first set and each other one. Runs of two are not
+    named, as no other pair is in them; their pair comes once a task."""
 
-    def reduced(key: np.ndarray, name: np.ndarray, size: np.ndarray, whole: bool) -> tuple[pd.DataFrame, tuple]:
+    def reduced(key: np.ndarray, name: np.ndarray, whole: bool) -> tuple[pd.DataFrame, tuple]:
         order = np.lexsort((name, key))
-        key, name, size = key[order], name[order], size[order]
+        key, name = key[order], name[order]
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (name[1:] != name[:-1])
-        key, name, size = key[new], name[new], size[new]
+        key, name = key[new], name[new]
         lead = np.ones(len(key), bool)
         lead[1:] = key[1:] != key[:-1]
         start = np.flatnonzero(lead)
         length = np.diff(np.append(start, len(key)))
         head = np.repeat(start, length)
         other = np.flatnonzero(~lead)
-        large, small = np.maximum(size[other], size[head[other]]), np.minimum(size[other], size[head[other]])
-        out = pd.DataFrame({"run": key[other], "lead": name[head[other]], "member": name[other], "may": DEN * small >= NUM * large})
+        out = pd.DataFrame({"run": key[other], "lead": name[head[other]], "member": name[other]})
         if whole:
             pair = np.repeat(length, length)[other] == 2
-            once = out[pair & out["may"].to_numpy()].assign(run=-1).drop_duplicates()
+            once = out[pair].assign(run=-1).drop_duplicates()
             out = pd.concat([out[~pair], once])
-        return out, (key[start], name[start], size[start])
+        return out, (key[start], name[start])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, total, whole = [], 0, True
         for batch in batches:
             for row in batch.itertuples(index=False):
                 key = np.frombuffer(row.keys, np.uint32).astype(np.int64) | row.part << 32
-                names, sizes = np.frombuffer(row.names, np.int64), np.frombuffer(row.sizes, np.int64)
-                at = np.frombuffer(row.at, np.uint32 if len(names) > 65535 else np.uint16)
-                held.append((key, names[at], sizes[at]))
+                held.append((key, np.frombuffer(row.names, np.int64)))
                 total += len(key)
             if total > HELD_KEYS:
                 found, left = reduced(*map(np.concatenate, zip(*held, strict=True)), False)
@@ -238,7 +233,7 @@ def runs_of(packed: DataFrame, parts: int) -> DataFrame:
         if held:
             yield reduced(*map(np.concatenate, zip(*held, strict=True)), whole)[0]
 
-    return packed.repartition(parts, "part").mapInPandas(run, "run long, lead long, member long, may boolean")
+    return packed.repartition(parts, "part").mapInPandas(run, "run long, lead long, member long")
 
 
 def linked(size_a: int, size_b: int, common: int) -> bool:
@@ -300,7 +295,7 @@ def clusters(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         shared = materialize(found.join(place, "row").select("name", "text"), "parity-texts")
         return verified(pairs, shared, shared.agg(F.sum(F.length("text"))).first()[0] or 0)
 
-    links = materialize(checked(runs.where("may").select(F.col("lead").alias("a"), F.col("member").alias("b")).distinct()), "parity-links")
+    links = materialize(checked(runs.select(F.col("lead").alias("a"), F.col("member").alias("b")).distinct()), "parity-links")
     groups = components(links)
     members = runs.where("run >= 0").select("run", F.col("member").alias("name"))
     for draw in range(DRAWS + 1):
