@@ -189,6 +189,28 @@ def test_line_dedup_links(spark):
     assert {r.doc_id: r.n_dropped for r in lines.dedup_lines(docs).collect()} == {1: 0, 2: 1, 3: 0}
 
 
+def edited_lines(n, count, seed):
+    """Pairs of lines of ``n`` words, of which ``floor(0.15 * n)`` are replaced by others of the same length."""
+    draw = np.random.default_rng(seed)
+    word = lambda k: "".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz"), k))
+    for _ in range(count):
+        one = [word(int(k)) for k in draw.integers(3, 10, n)]
+        two = list(one)
+        for at in draw.choice(n, int(0.15 * n), replace=False):
+            two[at] = word(len(one[at]))
+        yield " ".join(one), " ".join(two)
+
+
+def test_line_dedup_recall_by_length(spark):
+    rows, length = [], {}
+    for n in (7, 10, 13, 20, 27, 40):
+        for pair in edited_lines(n, 60, n):
+            rows += [(len(rows) + k, text) for k, text in enumerate(pair)]
+            length[len(rows) - 1] = n
+    found = Counter(length[r.doc_id] for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.n_dropped)
+    assert all(found[n] >= 57 for n in set(length.values())), found
+
+
 def test_passages(hard):
     spans = paragraphs.repeated_spans(hard).toPandas()
     text = {d: t for d, t, *_ in hard_rows()}
