@@ -211,6 +211,20 @@ def test_line_dedup_recall_by_length(spark):
     assert all(found[n] >= 57 for n in set(length.values())), found
 
 
+def test_line_dedup_inside_one_template(spark):
+    """Pairs of lines that share a passage with many others and only with their own partner enough to link."""
+    rows, common = [], next(edited_lines(30, 1, 70))[0]
+    for pair, (line, _) in enumerate(edited_lines(40, 40, 71)):
+        own = line.split()
+        edit = list(own)
+        edit[20] = "edit"
+        rows += [(2 * pair, f"{common} {' '.join(own)}"), (2 * pair + 1, f"{common} {' '.join(edit)}")]
+    # Lines of mostly one word, and of the same words in another order.
+    rows += [(200, "12 34 56 78 90 11 label one of them"), (201, "12 34 56 78 90 11 label one of thym"), (202, "them of one label 11 90 78 56 34 12")]
+    got = {r.doc_id: r.n_dropped for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: int(k < 200 and k % 2 or k == 201) for k, _ in rows}
+
+
 def test_passages(hard):
     spans = paragraphs.repeated_spans(hard).toPandas()
     text = {d: t for d, t, *_ in hard_rows()}
