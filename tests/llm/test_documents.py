@@ -225,6 +225,11 @@ def test_line_dedup_inside_one_template(spark):
     assert got == {k: int(k < 200 and k % 2 or k == 201) for k, _ in rows}
 
 
+def test_line_dedup_counts_characters(spark):
+    docs = spark.createDataFrame([(1, "sorting paper letters before monday morning"), (2, "sorting paper lettars before monday morning")], "doc_id long, text string")
+    assert {r.doc_id: r.n_dropped for r in lines.dedup_lines(docs, unit="characters").collect()} == {1: 0, 2: 1}
+
+
 def test_passages(hard):
     spans = paragraphs.repeated_spans(hard).toPandas()
     text = {d: t for d, t, *_ in hard_rows()}
