@@ -230,6 +230,14 @@ def test_line_dedup_counts_characters(spark):
     assert {r.doc_id: r.n_dropped for r in lines.dedup_lines(docs, unit="characters").collect()} == {1: 0, 2: 1}
 
 
+def test_line_dedup_of_short_lines(spark):
+    wide = "山川草木鳥獣虫魚日月星辰春夏秋冬東西南北上下左右前後"
+    texts = ["Les.\n---\n\nalpha", "les\n***\n\nbeta", "Les.\n---\n\ngamma", wide, wide.replace("春", "夕")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in lines.dedup_lines(docs, unit="characters", short_copies=True).collect()}
+    assert got == {0: texts[0], 1: "***\n\nbeta", 2: "\ngamma", 3: wide, 4: ""}
+
+
 def test_passages(hard):
     spans = paragraphs.repeated_spans(hard).toPandas()
     text = {d: t for d, t, *_ in hard_rows()}
