@@ -5,7 +5,7 @@
   every text, wherever it stands and whatever is around it.
 * Banding: a paragraph's set of five-word shingles gives ``BANDS`` keys of ``ROWS`` MinHashes. With 6 bands of 2 a pair of Jaccard
   similarity 0.75 meets with probability 0.993, equal sets always. In a run of equal keys each set is compared with the first,
-  never all with all.
+  those left in different components with drawn ones, and what is still apart pair by pair where sizes and sketches allow a link.
 * Pairs are verified by their exact Jaccard similarity (0.75 or more), and components of links and equal sets are the groups.
 * Of every group the occurrence with the smallest ``(doc_id, position)`` stays. Other occurrences are removed where they
   stand side by side for ``MIN_WORDS`` words at least, so lines that merely are common go nowhere.
@@ -26,9 +26,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.components import components
+from basketry.llm.components import settled
 from basketry.llm.hashing import LOWER, chunks, combined, joined, mixed, span_hashes, word_spans
-from basketry.llm.parity import PACKED, PORTION, WIDTH, Sets, pack, runs_of, texts_of, verified
+from basketry.llm.parity import PACKED, PORTION, WIDTH, Sets, pack, plausible, runs_of, texts_of, undecided, verified
 from basketry.session import materialize
 
 REACH = 5
@@ -125,6 +125,19 @@ def paragraph_texts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInPandas(run, "name long, text string")
 
 
+def sketched(given: DataFrame) -> DataFrame:
+    """``(name, n, sketch)``: number of shingles and parity sketch of every text."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            raw = [t.encode() for t in batch["text"]]
+            for part in chunks([len(t) for t in raw], PORTION):
+                sets = Sets(raw[part])
+                yield pd.DataFrame({"name": batch["name"][part], "n": sets.sizes, "sketch": list(sets.sketches().view(np.int64))})
+
+    return given.mapInPandas(run, "name long, n long, sketch array<long>")
+
+
 def repeated(docs: DataFrame) -> DataFrame:
     """``(row, at, groups, keepers)``: positions of the paragraphs of a row that a smaller occurrence repeats, the group of each
     and the document that keeps it (``LAST`` for one without an id)."""
@@ -132,7 +145,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     named = materialize(named_paragraphs(texts), "paragraphs")
     total = named.agg(F.sum(F.size("names"))).first()[0] or 0
     parts = max(1, -(-total * BANDS // PART_KEYS))
-    runs = runs_of(band_keys(texts, parts), parts)
+    runs = materialize(runs_of(band_keys(texts, parts), parts), "paragraph-runs")
     pairs = materialize(runs.select(F.col("lead").alias("a"), F.col("member").alias("b")).distinct(), "paragraph-pairs")
 
     # The words of the paragraphs to verify come from one row for each.
@@ -142,7 +155,10 @@ def repeated(docs: DataFrame) -> DataFrame:
     given = paragraph_texts(texts.join(place, "row", "left_semi"))
     given = materialize(given.join(wanted, "name", "left_semi").groupBy("name").agg(F.first("text").alias("text")), "paragraph-texts")
     chars = given.agg(F.sum(F.length("text"))).first()[0] or 0
-    groups = components(verified(pairs, given, chars))
+    sketches = materialize(sketched(given), "paragraph-sketches")
+    checked = lambda pairs: verified(materialize(plausible(pairs, sketches), "paragraph-plausible"), given, chars)
+    members = runs.where("run >= 0").select("run", F.col("member").alias("name"))
+    groups = settled(members, materialize(checked(pairs), "paragraph-links"), checked, lambda apart: undecided(apart, sketches))
 
     counts = each.groupBy("name").agg(F.count("*").alias("n"))
     groups = counts.join(groups.withColumnRenamed("node", "name"), "name", "left").where((F.col("n") > 1) | F.col("component").isNotNull())

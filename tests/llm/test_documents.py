@@ -14,6 +14,7 @@ from llm_rows import hard_rows, words
 from tokenizers import Tokenizer
 
 from basketry.llm import bpe, context_tree, licenses, lines, packing, paragraphs, parity, toxicity
+from basketry.llm.components import settled
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -258,6 +259,15 @@ def test_paragraphs_depend_on_nearby_words_alone():
     assert len(common) >= len(alone.names) - 4
 
 
+def test_runs_are_settled_beyond_their_first_member(spark):
+    """Member 1 links with none; 2 and 3, 4 and 5 link with each other alone."""
+    linked = {(2, 3), (4, 5)}
+    runs = spark.createDataFrame([(9, k) for k in (2, 3, 4, 5)], "run long, name long")
+    pairs = lambda df: spark.createDataFrame([p for p in map(tuple, df.collect()) if p in linked], "a long, b long")
+    rest = lambda df: df.alias("x").join(df.alias("y"), parity.F.expr("x.run = y.run AND x.name < y.name AND x.component <> y.component")).selectExpr("x.name AS a", "y.name AS b")
+    assert set(rows_of(settled(runs, spark.createDataFrame([], "a long, b long"), pairs, rest))) == {(2, 2), (3, 2), (4, 4), (5, 4)}
+
+
 def test_license_scan(hard, spark):
     texts = [
         "Under  the MIT-license, under the mit license. apache license, version 2",
