@@ -11,6 +11,7 @@ from basketry.llm.bpe import op10_byte_bpe
 from basketry.llm.context_tree import op5_context_tree
 from basketry.llm.licenses import op9_license_join, scan_sql
 from basketry.llm.lines import op8_fuzzy_lines
+from basketry.llm.merkle import OP11_SQL, op11_merkle_manifest
 from basketry.llm.packing import op3_grouped_packing
 from basketry.llm.paragraphs import op4_paragraph_minhash
 from basketry.llm.parity import OP7_SQL, op7_parity_join
@@ -28,10 +29,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fuzzy_lines": op8_fuzzy_lines,
     "op9_license_join": op9_license_join,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLES: dict[str, str] = {
     "op2_nra_top_k": OP2_SQL,
     "op7_parity_join": OP7_SQL,
     "op9_license_join": scan_sql(),
+    "op11_merkle_manifest": OP11_SQL,
 }
