@@ -82,3 +82,43 @@ def materialize(df: DataFrame, label: str = "table", split_by: str | None = None
     if kept is not None:
         kept.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+class Buckets:
+    """Tables of one owner in the shared folder, bucketed by the same keys, so that joins on them move no rows.
+
+    The owner deletes a table when it is done with it, and all of them at the end. Nobody else knows their names.
+    """
+
+    def __init__(self, spark: SparkSession, keys: list[str], n: int):
+        self.spark, self.keys, self.n = spark, keys, n
+        self.tables: list[tuple[str, str, str, DataFrame]] = []
+
+    def write(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(self.spark, label)
+        name = "".join(c if c.isalnum() else "_" for c in f"{label}_{uuid.uuid4().hex}")
+        writer = df.repartition(self.n, *self.keys).write.format("parquet").bucketBy(self.n, *self.keys).sortBy(*self.keys)
+        writer.option("path", path).saveAsTable(name)
+        table = self.spark.table(name)
+        self.tables.append((name, path, label, table))
+        return table
+
+    def _drop(self, chosen: list[tuple[str, str, str, DataFrame]]) -> None:
+        for entry in chosen:
+            self.spark.sql(f"DROP TABLE IF EXISTS {entry[0]}")
+            delete_path(self.spark, entry[1])
+            self.tables.remove(entry)
+
+    def discard(self, table: DataFrame) -> None:
+        self._drop([t for t in self.tables if t[3] is table])
+
+    def discard_older(self, label: str, newest: DataFrame) -> None:
+        self._drop([t for t in self.tables if t[2] == label and t[3] is not newest])
+
+    def discard_all(self) -> None:
+        self._drop(list(self.tables))

@@ -14,7 +14,8 @@ from basketry.operators.candidates import FEATURE_COLUMNS, ID_COLUMNS
 from basketry.operators.preprocess import Preprocessing
 from basketry.operators.qda import QdaFit, QdaModel
 from basketry.operators.quality import SchemaError, require_columns
-from basketry.operators.ranker import Ranker, Tree, tree_rows
+from basketry.operators.ranker import Ranker, tree_rows
+from basketry.operators.trees import Tree
 from basketry.session import path_exists
 
 # Schemas of the six base tables and their file names.

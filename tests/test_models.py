@@ -149,9 +149,9 @@ def test_ranker_round_trip(spark, table, ranker):
     assert gains.count() == 3 and gains.first().gain > 0
 
 
-def test_newton_values(spark):
-    leaves = spark.createDataFrame([(0, 3.0, 10.0), (0, 2.0, 15.0), (1, -0.5, 30.0), (2, 9.0, 1.0)], "leaf int, push double, curve double")
-    got = {r.leaf: r.value for r in K.newton_values(leaves, 1.0, 5.0, 20.0).collect()}
+def test_newton_values():
+    leaves = {0: (5.0, 25.0), 1: (-0.5, 30.0), 2: (9.0, 1.0)}
+    got = {leaf: K.newton_value(push, curve, 1.0, 5.0, 20.0) for leaf, (push, curve) in leaves.items()}
     assert got == pytest.approx({0: 4 / 30, 1: 0.0, 2: 0.0})
 
 
