@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from basketry.operators import attribution as A
 from basketry.operators import factors as L
+from basketry.operators import inner_product as IP
 from basketry.operators import metrics as M
 from basketry.operators import preprocess as Q
 from basketry.operators import qda as D
@@ -200,3 +201,70 @@ def test_unseen_skips_long_exclusions(spark):
     exclude = spark.createDataFrame([(0, p) for p in range(57)] + [(1, 0)], "user_id long, product_id long")
     top = L.recommend_unseen(model, pairs.select("user_id"), exclude, 5).toPandas()
     assert sorted(top[top.user_id == 0].product_id) == [57, 58, 59] and (top[top.user_id == 1].shape[0], top[top.user_id == 2].shape[0]) == (5, 5)
+
+
+def skewed_vectors(n, rank, seed, spread=1.0):
+    rng = np.random.default_rng(seed)
+    return rng.normal(size=(n, rank)) * np.exp(rng.normal(0, spread, (n, 1)))
+
+
+@pytest.mark.parametrize("portion", [None, 3000])
+def test_top_products_equal_brute_force(spark, monkeypatch, portion):
+    """Over several blocks, and over several portions; with ties, zero vectors, and users who exclude nearly everything."""
+    monkeypatch.setattr(IP, "BLOCK", 16)
+    if portion:
+        monkeypatch.setattr(IP, "PORTION", portion)
+    u, v = skewed_vectors(90, 5, 1), skewed_vectors(130, 5, 2)
+    v[100:110] = v[3]  # ties
+    v[120:] = 0
+    u[7] = 0
+    rng = np.random.default_rng(3)
+    exclude = {k: set(rng.choice(130, int(rng.choice([0, 3, 40, 128, 130])), replace=False).tolist()) for k in range(90)}
+    users = spark.createDataFrame([(k, row.tolist()) for k, row in enumerate(u)], "user_id long, factors array<double>")
+    products = spark.createDataFrame([(k, row.tolist()) for k, row in enumerate(v)], "product_id long, factors array<double>")
+    pairs = spark.createDataFrame([(k, p) for k, s in exclude.items() for p in s] + [(1, 999), (777, 1), (2, None)], "user_id long, product_id long")
+    got = {}
+    for r in L.top_products(users, products, pairs, 7).collect():
+        got.setdefault(r["user_id"], []).append((r["rank"], r["product_id"], r["score"]))
+    scores = np.round(u @ v.T, 9)
+    for k in range(90):
+        best = sorted((-scores[k, p], p) for p in range(130) if p not in exclude[k])[:7]
+        assert [(a, b) for a, b, _ in sorted(got.get(k, []))] == [(at + 1, p) for at, (_, p) in enumerate(best)], k
+
+
+def test_short_vectors_are_not_looked_at(monkeypatch):
+    """Users are done when no later block can hold a better product."""
+    class Shared:
+        value = IP.blocks_of([{"product_id": k, "factors": row, "length": float(np.linalg.norm(row))} for k, row in enumerate(sorted(skewed_vectors(40 * IP.BLOCK, 4, 5, 1.5), key=lambda r: -np.linalg.norm(r)))])
+
+    looked = []
+    real = IP.merged
+    monkeypatch.setattr(IP, "merged", lambda *a: looked.append(1) or real(*a))
+    u = skewed_vectors(20, 4, 6)
+    batch = pd.DataFrame({"user_id": range(20), "factors": list(u), "excluded": [None] * 20, "ids": [[]] * 20, "scores": [[]] * 20, "done": [False] * 20})
+    out = pd.concat(IP.searcher(Shared, 10, -1.0)([batch]))
+    assert len(looked) < 20 * 8  # of 20 x 40 blocks
+    every = np.concatenate([b[2] for b in Shared.value])
+    want = np.sort(np.round(u @ every.T, 9), axis=1)[:, ::-1][:, :10]
+    np.testing.assert_allclose(np.stack(out["scores"]), want)
+
+
+def test_no_products_and_no_users(spark):
+    users = spark.createDataFrame([(1, [1.0])], "user_id long, factors array<double>")
+    products = spark.createDataFrame([(1, [1.0])], "product_id long, factors array<double>")
+    none = spark.createDataFrame([], "user_id long, product_id long")
+    assert L.top_products(users, products.limit(0), none).count() == 0
+    assert L.top_products(users.limit(0), products, none).count() == 0
+    assert [tuple(r) for r in L.top_products(users, products, none).collect()] == [(1, 1, 1.0, 1)]
+
+
+def test_ids_beyond_an_int(spark):
+    """MLlib's factors need ids of 32 bits; wider ones are numbered for the fit and come back."""
+    wide = 1 << 40
+    pairs = spark.createDataFrame([(wide + u, wide * 2 + p, 1 + (u + p) % 2) for u in range(8) for p in range(8) if (u < 4) == (p < 4)], "user_id long, product_id long, count long")
+    fitted = L.fit_wide_factors(pairs, L.FactorParams(rank=3, iterations=3, blocks=2))
+    users, products = fitted
+    assert {r["user_id"] for r in users.collect()} == {wide + u for u in range(8)}
+    assert {r["product_id"] for r in products.collect()} == {wide * 2 + p for p in range(8)}
+    top = L.top_products(users, products, pairs.limit(0), 3).collect()
+    assert all((r["user_id"] - wide < 4) == (r["product_id"] - 2 * wide < 4) for r in top)
