@@ -10,14 +10,19 @@ A document's set holds the hashes of its distinct five-word shingles. Sets link
   is 5e-10.
 * Equal sets are one node from the start, so copies cost one signature each and nothing more.
 * In a band every set is a candidate with the first one of its key. A set is compared with its most similar first set, then with the others
-  it is not yet connected with. Members of a key that are still in different components are compared with a drawn member of the
-  largest one, ``DRAWS`` times, and what then is left with each other within size classes whose sets can link at all. That last step looks
-  at no more than the pairs of one key and size class in different components, and passes on only those with an estimate of
-  ``FLOOR`` or more: sets that look like near copies and are not linked through others.
+  it is not yet connected with.
+* Members of a key that are still in different components: a shingle that no other of all these sets holds is in no intersection. Sets
+  with too many own shingles for any link are done. The rest are compared with the member of their key that has the smallest share of own
+  shingles, as a text from which the others were made has. Those not linked with that centre are compared by their differences from it:
+  two sets differ in ``|x ^ y| = dx + dy - 2 * |Dx & Dy|`` shingles, ``D`` being what differs from the centre, so a pair that links shares a
+  stated part of its differences, at least one. The differences are sorted by how rare they are, and pairs that share one within the first
+  places that this part leaves (a prefix filter, exact) are candidates. Near copies made independently differ from the centre in
+  shingles of their own and meet nobody, so a large group costs each member what it differs in.
 * Every pair that is kept is decided on the full sets: the shingles of the whole texts, made anew for candidates alone, joined to the
-  pairs and intersected by Spark. A set with many partners is dealt in portions of ``CHUNK`` partners.
+  pairs and intersected by Spark. A set with many partners is dealt in portions of ``CHUNK`` partners. Different texts are written once,
+  bucketed by their hashes, so that fetching some of them moves none of the others.
 
-Sets are named by 128 bits, shingles by 64. Defined results: null, empty and blank texts have an empty set and are alone; with fewer
+Sets and texts are named by 128 bits, shingles by 64. Defined results: null, empty and blank texts have an empty set and are alone; with fewer
 than five words the whole sequence is one shingle; rows with a null id take part, but a component is named by its smallest id that
 is not null; ``kept`` is true for the rows whose id is the component's, nulls being equal to each other, so of repeated rows all stay or
 none; an empty table has no rows. Columns other than ``doc_id`` and ``text`` play no part.
@@ -25,7 +30,6 @@ none; an empty table has no rows. Columns other than ``doc_id`` and ``text`` pla
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,14 +40,13 @@ from pyspark.sql import functions as F
 from basketry.llm.components import components
 from basketry.llm.hashing import chunks, mixed
 from basketry.llm.parity import Sets
-from basketry.session import materialize
+from basketry.session import Buckets, materialize
 
 PERCENT = 85  # links: 100 * |A & B| >= PERCENT * |A | B|
 BITS, HASHES = 4, 128
 SIGNATURE = HASHES * BITS // 64
 ROWS, BANDS = 5, 25
 FLOOR = 0.6
-DRAWS = 2
 CHUNK = 256  # partners of a set that one task joins
 PORTION = 500_000  # bytes of text looked at together
 
@@ -116,17 +119,17 @@ def texts_of(docs: DataFrame) -> DataFrame:
 
 
 def signatures(texts: DataFrame) -> DataFrame:
-    """``(doc_id, t1, t2, n, name, signature, keys)`` of every text."""
+    """``(t1, t2, n, name, signature, keys)`` of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held, sets in _portions(batches):
             least = minima(sets)
             some = (sets.sizes > 0).astype(np.int64)
-            columns = [held.column(c) for c in ("doc_id", "t1", "t2")]
+            columns = [held.column(c) for c in ("t1", "t2")]
             columns += [pa.array(sets.sizes.astype(np.int64)), _binaries(names(sets)), _lists(packed(least), some * SIGNATURE), _lists(band_keys(least), some * BANDS)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "t1", "t2", "n", "name", "signature", "keys"])
+            yield pa.RecordBatch.from_arrays(columns, ["t1", "t2", "n", "name", "signature", "keys"])
 
-    return texts.mapInArrow(run, "doc_id long, t1 long, t2 long, n long, name binary, signature array<long>, keys array<long>")
+    return texts.mapInArrow(run, "t1 long, t2 long, n long, name binary, signature array<long>, keys array<long>")
 
 
 def estimate(a: str = "sa", b: str = "sb") -> Column:
@@ -179,23 +182,20 @@ class Links:
         self.texts, self.sets = texts, sets
         self.items = self.found = self.groups = None
 
-    def need(self, pairs: DataFrame) -> None:
-        """Make the full sets of ``pairs`` that there are not yet."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
+    def need(self, wanted: DataFrame) -> None:
+        """Make the full sets of ``wanted(name)`` that there are not yet."""
         if self.items is not None:
             wanted = wanted.join(self.items.select("name"), "name", "left_anti")
         places = materialize(self.sets.join(wanted, "name").select("place.*"), "bbit-wanted")
         if places.isEmpty():
             return
-        same = self.texts["doc_id"].eqNullSafe(places["doc_id"]) & (self.texts["t1"] == places["t1"]) & (self.texts["t2"] == places["t2"])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for _, sets in _portions(batches):
                 yield pa.RecordBatch.from_arrays([_binaries(names(sets)), _lists(sets.items, sets.sizes)], ["name", "items"])
 
-        made = self.texts.join(places, same, "left_semi").select("text").mapInArrow(run, "name binary, items array<long>")
-        # Repeated rows have the same set.
-        made = materialize(made.groupBy("name").agg(F.first("items").alias("items")), "bbit-items")
+        made = self.texts.join(places, ["t1", "t2"], "left_semi").select("text").mapInArrow(run, "name binary, items array<long>")
+        made = materialize(made, "bbit-items")
         self.items = made if self.items is None else self.items.unionByName(made)
 
     def add(self, pairs: DataFrame) -> None:
@@ -210,11 +210,13 @@ class Links:
         return rows.join(of, column, "left").withColumn(out, F.coalesce(out, column))
 
 
-def clusters(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(doc_id, n, name)`` of all rows and ``(node, component)`` of the set names that link with another."""
-    texts = texts_of(docs)
+def clusters(docs: DataFrame, kept: Buckets) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(doc_id, t1, t2)`` of all rows, ``(t1, t2, n, name)`` of all texts, and ``(node, component)`` of the set names that link with another."""
+    every = texts_of(docs)
+    rows = materialize(every.select("doc_id", "t1", "t2"), "bbit-rows")
+    texts = kept.write(every.groupBy("t1", "t2").agg(F.first("text").alias("text")), "bbit-texts")
     found = materialize(signatures(texts), "bbit-signatures")
-    sets = found.where("n > 0").groupBy("name").agg(*[F.first(c).alias(c) for c in ("n", "signature", "keys")], F.min(F.struct("doc_id", "t1", "t2")).alias("place"))
+    sets = found.where("n > 0").groupBy("name").agg(*[F.first(c).alias(c) for c in ("n", "signature", "keys")], F.min(F.struct("t1", "t2")).alias("place"))
     sets = materialize(sets, "bbit-sets")
     runs = materialize(runs_of(sets), "bbit-runs")
 
@@ -222,62 +224,114 @@ def clusters(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = with_signatures(runs.select(F.col("lead").alias("a"), F.col("name").alias("b")).distinct(), sets).where(may_link())
     pairs = materialize(pairs.select("a", "b", estimate().alias("estimate")), "bbit-pairs")
     if pairs.isEmpty():
-        return found, sets.select(F.col("name").alias("node"), F.col("name").alias("component")).limit(0)
-    links.need(pairs)
-    links.add(pairs.groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a")))
-    rest = links.labelled(links.labelled(pairs, "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b")
-    rest = materialize(rest, "bbit-rest")
-    if not rest.isEmpty():
-        links.add(rest)
-
-    members = runs.where("several").select("run", "name")
-    for draw in range(DRAWS + 1):
-        labelled = links.labelled(members, "name", "component")
-        split = labelled.groupBy("run").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("run")
-        apart = materialize(labelled.join(split, "run").select("run", "name", "component"), "bbit-apart")
-        if apart.isEmpty():
-            break
-        members = apart.select("run", "name")
-        tried = drawn(apart, draw) if draw < DRAWS else within_classes(apart, sets)
-        tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        tried = materialize(with_signatures(tried, sets).where(may_link()).select("a", "b"), "bbit-tried")
-        if not tried.isEmpty():
-            links.need(tried)
-            links.add(tried)
-    return found, links.groups
-
-
-def drawn(apart: DataFrame, draw: int) -> DataFrame:
-    """Each member outside the largest component of its run, with a member of that one."""
-    by = F.xxhash64("name", F.lit(draw))
-    per = apart.groupBy("run", "component").agg(F.count("*").alias("n"), F.min(F.struct(by.alias("d"), "name")).alias("drawn"))
-    largest = per.groupBy("run").agg(F.max(F.struct("n", "component", "drawn")).alias("m")).select("run", F.col("m.component").alias("largest"), F.col("m.drawn.name").alias("a"))
-    return apart.join(largest, "run").where(F.col("component") != F.col("largest")).select("a", F.col("name").alias("b"))
-
-
-def within_classes(apart: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of a run in different components that may link by size and signature. Sizes that can link are in one class or in two next to
-    each other."""
-    # A little wider than the threshold, so that rounding doesn't part two sizes.
-    size_class = F.floor(F.log("n") / -math.log(PERCENT / 100 - 0.001))
-    side = apart.join(sets.select("name", "n", "signature"), "name").withColumn("class", size_class)
-    left = side.select("run", "class", F.col("name").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("signature").alias("sa"))
-    near = F.explode(F.array(F.col("class"), F.col("class") - 1)).alias("class")
-    right = side.select("run", near, F.col("name").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("signature").alias("sb"))
-    once = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
-    return left.join(right, ["run", "class"]).where(once & (F.col("ca") != F.col("cb")) & may_link()).select("a", "b")
+        links.groups = sets.select(F.col("name").alias("node"), F.col("name").alias("component")).limit(0)
+    else:
+        links.need(ends(pairs))
+        links.add(pairs.groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a")))
+        rest = links.labelled(links.labelled(pairs, "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b")
+        rest = materialize(rest, "bbit-rest")
+        if not rest.isEmpty():
+            links.add(rest)
+
+    apart = still_apart(runs.where("several").select("run", "name"), links)
+    if not apart.isEmpty():
+        links.need(apart.select("name").distinct())
+        own = own_shingles(apart.select("name").distinct(), links.items)
+        # What no set of these can share with enough of a set leaves it without links.
+        open_sets = materialize(sets.select("name", "n", "signature").join(own, "name").where((100 * (F.col("n") - F.col("u")) >= PERCENT * F.col("n"))), "bbit-open")
+        apart = still_apart(apart.select("run", "name").join(open_sets.select("name"), "name"), links)
+        for choose in (with_centre, by_difference):
+            if apart.isEmpty():
+                break
+            tried = choose(apart, open_sets, links.items).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            tried = materialize(with_signatures(tried, open_sets).where(may_link()).select("a", "b"), "bbit-tried")
+            if not tried.isEmpty():
+                links.add(tried)
+                apart = still_apart(apart.select("run", "name"), links)
+    return rows, found, links.groups
+
+
+def ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
+
+
+def still_apart(members: DataFrame, links: Links) -> DataFrame:
+    """``(run, name, component)`` of the runs whose members are in several components."""
+    labelled = links.labelled(members, "name", "component")
+    split = labelled.groupBy("run").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("run")
+    return materialize(labelled.join(split, "run").select("run", "name", "component"), "bbit-apart")
+
+
+def own_shingles(wanted: DataFrame, items: DataFrame) -> DataFrame:
+    """``(name, u)``: how many shingles no other set of ``wanted`` holds."""
+    held = items.join(wanted, "name").select("name", F.explode("items").alias("item"))
+    single = held.groupBy("item").agg(F.count("*").alias("n"), F.min("name").alias("name")).where("n = 1")
+    counts = single.groupBy("name").agg(F.count("*").alias("u"))
+    return wanted.join(counts, "name", "left").select("name", F.coalesce("u", F.lit(0)).alias("u"))
+
+
+def centres(apart: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(run, centre, centre_component)``: the member of each run with the smallest share of own shingles."""
+    share = F.struct((F.col("u") / F.col("n")).alias("share"), "name", "component")
+    best = apart.join(sets.select("name", "n", "u"), "name").groupBy("run").agg(F.min(share).alias("m"))
+    return best.select("run", F.col("m.name").alias("centre"), F.col("m.component").alias("centre_component"))
+
+
+def with_centre(apart: DataFrame, sets: DataFrame, items: DataFrame) -> DataFrame:
+    """Each member with the centre of its run."""
+    found = apart.join(centres(apart, sets), "run").where(F.col("component") != F.col("centre_component"))
+    return found.select(F.col("centre").alias("a"), F.col("name").alias("b"))
+
+
+def by_difference(apart: DataFrame, sets: DataFrame, items: DataFrame) -> DataFrame:
+    """Pairs of different components that may link, from what members differ in from the centre of their run. Pairs of which both link
+    with the centre are in one component; so one of them, ``a``, does not."""
+    near, far = 100 - PERCENT, 100 + PERCENT  # sets link when far * |x ^ y| <= near * (|x| + |y|)
+    centre = items.select(F.col("name").alias("centre"), F.col("items").alias("ic"))
+    members = apart.join(centres(apart, sets), "run").select("centre", "name", "component").distinct()
+    both = members.join(items, "name").join(centre, "centre")
+    differing = F.concat(F.array_except("items", "ic"), F.array_except("ic", "items"))
+    held = both.select("centre", "name", "component", F.size("items").alias("n"), F.size("ic").alias("nc"), differing.alias("differ"))
+    held = materialize(held.withColumn("d", F.size("differ")), "bbit-differences")
+    each = held.select("centre", "name", F.explode("differ").alias("item"))
+    counts = each.groupBy("centre", "item").agg(F.count("*").alias("df"))
+    ordered = each.join(counts.where("df > 1"), ["centre", "item"]).groupBy("centre", "name").agg(F.array_sort(F.collect_list(F.struct("df", "item"))).alias("shared"))
+    # Differences of nobody else come first and meet nobody.
+    known = held.drop("differ").join(ordered, ["centre", "name"]).withColumn("alone", F.col("d") - F.size("shared"))
+    linked = far * F.col("d") <= near * (F.col("n") + F.col("nc"))
+    # The least number of common differences that any partner allows.
+    least_linked = F.floor((far * F.col("d") + near * (F.col("nc") - F.col("n"))) / (2 * far)) + 1
+    least_other = F.ceil((PERCENT * F.col("d") - near * F.col("n")) / PERCENT)
+    known = known.withColumn("linked", linked)
+    first = F.col("d") - F.greatest(F.when(F.col("linked"), least_linked).otherwise(least_other), F.lit(1)) + 1
+    places = known.select("centre", "name", "component", "n", "d", "linked", F.posexplode("shared").alias("at", "e"), "alone", first.alias("first"))
+    places = places.withColumn("at", F.col("at") + F.col("alone")).where("at < first").withColumn("item", F.col("e.item"))
+    places = materialize(places.select("centre", "item", "name", "component", "n", "d", "linked", "at"), "bbit-places")
+    left = places.where(~F.col("linked")).select("centre", "item", *[F.col(c).alias(f"{c}_a") for c in ("name", "component", "n", "d", "at")])
+    right = places.select("centre", "item", "linked", *[F.col(c).alias(f"{c}_b") for c in ("name", "component", "n", "d", "at")])
+    common = F.greatest(F.ceil((far * (F.col("d_a") + F.col("d_b")) - near * (F.col("n_a") + F.col("n_b"))) / (2 * far)), F.lit(1))
+    once = F.col("linked") | (F.col("name_a") < F.col("name_b"))
+    fits = (F.col("at_a") <= F.col("d_a") - common) & (F.col("at_b") <= F.col("d_b") - common) & (100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
+    found = left.join(right, ["centre", "item"]).where(once & fits & (F.col("component_a") != F.col("component_b")))
+    return found.select(F.col("name_a").alias("a"), F.col("name_b").alias("b"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` of every row of ``docs``."""
-    found, groups = clusters(docs)
-    per_set = found.where("n > 0").groupBy("name").agg(F.min("doc_id").alias("least"))
-    of = per_set.join(groups.withColumnRenamed("node", "name"), "name", "left").withColumn("component", F.coalesce("component", "name"))
+    kept = Buckets(docs.sparkSession, ["t1", "t2"], int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    try:
+        rows, found, groups = clusters(docs, kept)
+    finally:
+        kept.discard_all()
+    least = rows.groupBy("t1", "t2").agg(F.min("doc_id").alias("least"))
+    per_text = found.where("n > 0").select("t1", "t2", "n", "name").join(least, ["t1", "t2"])
+    of = per_text.join(groups.withColumnRenamed("node", "name"), "name", "left").withColumn("component", F.coalesce("component", "name"))
     first = of.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_set = of.join(first, "component").select("name", "component_id")
-    out = found.select("doc_id", F.col("n").alias("n_shingles"), "name").join(by_set, "name", "left")
-    out = out.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    by_text = of.join(first, "component").select("t1", "t2", "n", "component_id")
+    out = rows.join(by_text, ["t1", "t2"], "left")
+    component = F.when(F.col("n").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
+    out = out.select("doc_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_shingles"), component.alias("component_id"))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def op12_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,7 +65,8 @@ def test_equals_all_pairs(spark):
 def test_apart_members_of_one_key(spark, monkeypatch):
     """With one key for all, pairs that do not link with the first are still found."""
     monkeypatch.setattr(bbit, "band_keys", lambda least: np.ones((len(least), bbit.BANDS), np.uint64))
-    texts = [edited(words(k // 4, 80), k % 4, k) for k in range(48)]
+    texts = [edited(words(k // 6, 80), k % 6 - k % 2, k) for k in range(96)]
+    texts += [edited(edited(words(50, 150), 5, k % 3), k % 5, 900 + k) for k in range(40)]  # pairs away from the centre
     want = {k: (n, c, c == k) for k, (n, c) in enumerate(expected(texts))}
     assert found(spark, texts) == want
     assert len({c for _, c, _ in want.values()}) > 10
