@@ -7,10 +7,10 @@ from functools import lru_cache
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import functions as F
 
 from basketry.operators import attribution as A
+from basketry.operators import calibrate as B
 from basketry.operators import candidates as C
 from basketry.operators import explore as P
 from basketry.operators import factors as L
@@ -418,8 +418,10 @@ def _(i: Inputs):
 #
 # Fits are kept per session and data folder, as several queries look at the same one.
 
-_FACTORS = L.FactorParams(rank=16, iterations=6)
-_RANKER = K.RankerParams(rounds=6, learning_rate=0.3, max_depth=5, min_rows_per_leaf=50, min_hessian=0.5, patience=4)
+_FACTORS = L.FactorParams()
+# Depth, rate, rounds and regularisation are the defaults; leaves are smaller, as the tables are, and patience is what a fit of
+# a few minutes allows. It stops by itself.
+_RANKER = K.RankerParams(min_rows_per_leaf=50, min_hessian=0.5, patience=6)
 _FEATURES = C.FEATURE_COLUMNS
 
 
@@ -435,7 +437,7 @@ def _test_rows(i: Inputs):
 
 @lru_cache(maxsize=4)
 def _factors(i: Inputs):
-    return L.fit_factors(X.interactions(i.prior_baskets(i.folded)), _FACTORS)
+    return tuple(i.keep(t, "factors") for t in L.fit_wide_factors(X.interactions(i.prior_baskets(i.folded)), _FACTORS))
 
 
 @lru_cache(maxsize=4)
@@ -458,9 +460,18 @@ def _ranker(i: Inputs):
     return K.fit_ranker(_classified(i, "train"), [*_FEATURES, "qda_p_score", "qda_logit"], _RANKER)
 
 
-@query("m03_s12_factors")
+def _unseen(i: Inputs, users, exclude, n: int = 12):
+    known, products = _factors(i)
+    return L.top_products(known.join(users.select("user_id").distinct(), "user_id", "left_semi"), products, exclude, n)
+
+
+@query(
+    "m03_s12_factors",
+    f"""SELECT 'user' AS side, user_id AS id, {_FACTORS.rank} AS n_factors FROM (SELECT DISTINCT user_id FROM f_facts WHERE eval_set = 'prior' AND user_id IS NOT NULL)
+    UNION ALL SELECT 'product', product_id, {_FACTORS.rank} FROM (SELECT DISTINCT product_id FROM f_facts WHERE eval_set = 'prior')""",
+)
 def _(i: Inputs):
-    path = T.save_factors(*L.factor_tables(_factors(i)), scratch_path(i.spark, "factors"))
+    path = T.save_factors(*_factors(i), scratch_path(i.spark, "factors"))
     users, products = T.load_factors(i.spark, path)
     tables = users.select(F.lit("user").alias("side"), F.col("user_id").alias("id"), "factors").unionByName(products.select(F.lit("product").alias("side"), F.col("product_id").alias("id"), "factors"))
     return tables.select("side", "id", F.size("factors").alias("n_factors"))
@@ -469,13 +480,13 @@ def _(i: Inputs):
 @query("m04_score_pairs")
 def _(i: Inputs):
     pairs = X.history_pairs(i.prior_baskets(i.folded))
-    return L.score_pairs(pairs, *L.factor_tables(_factors(i)))
+    return L.score_pairs(pairs, *_factors(i))
 
 
 @query("m05_recommend_unseen")
 def _(i: Inputs):
     targets = i.folded.baskets.where("eval_set <> 'prior'")
-    return L.recommend_unseen(_factors(i), X.history_pairs(i.prior_baskets(i.folded)).select("user_id"), targets)
+    return _unseen(i, X.history_pairs(i.prior_baskets(i.folded)).select("user_id"), targets)
 
 
 @query("m06_convergence")
@@ -559,23 +570,31 @@ def _(i: Inputs):
     return scored.join(chosen.select(*C.ID_COLUMNS, "kind"), C.ID_COLUMNS)
 
 
-@query("r09_blended_lists")
-def _(i: Inputs):
+def _blended(i: Inputs):
     test = X.split(i.folded.baskets, "test")
     owners = X.split(i.folded.orders, "test").select(F.col("order_id").alias("cart_id"), "user_id")
     carts = test.select(F.col("order_id").alias("cart_id"), "product_id")
     similar = R.similar_to_cart(carts, i.edges(i.folded)).join(owners, "cart_id").select("user_id", "product_id", "score", "rank")
-    unseen = L.recommend_unseen(_factors(i), owners, test)
+    unseen = _unseen(i, owners, test)
     ranked = R.ranked_for_users(_ranker(i).score(_classified(i, "test")), i.catalog(i.folded), test, k=40)
     return R.blended([("similar to cart", similar, 8), ("factors", unseen, 8), ("ranker", ranked.select("user_id", "product_id", "score", "rank"), 12)])
 
 
-@query("x08_recalibrated_probabilities")
+@query("r09_blended_lists")
 def _(i: Inputs):
+    return _blended(i)
+
+
+def _recalibrated(i: Inputs):
     """Platt scaling and isotonic regression of the classifier's probability."""
     scored = _classified(i, "train").select(*C.ID_COLUMNS, F.col("label").cast("double").alias("label"), "qda_p_score", "qda_logit")
     platt = VectorAssembler(inputCols=["qda_logit"], outputCol="z").transform(scored)
     fitted = LogisticRegression(featuresCol="z", labelCol="label", probabilityCol="_p", rawPredictionCol="_raw", predictionCol="_y").fit(platt)
     both = fitted.transform(platt).withColumn("platt", vector_to_array("_p")[1]).drop("_p", "_raw", "_y", "z")
-    isotonic = IsotonicRegression(featuresCol="qda_p_score", labelCol="label", predictionCol="isotonic").fit(both)
-    return isotonic.transform(both).select(*C.ID_COLUMNS, "platt", "isotonic")
+    isotonic = B.with_isotonic(both, B.isotonic_blocks(both, "qda_p_score", "label"), "qda_p_score")
+    return isotonic.select(*C.ID_COLUMNS, "platt", "isotonic")
+
+
+@query("x08_recalibrated_probabilities")
+def _(i: Inputs):
+    return _recalibrated(i)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketry.operators import attribution as A
+from basketry.operators import calibrate as B
 from basketry.operators import factors as L
 from basketry.operators import inner_product as IP
 from basketry.operators import metrics as M
@@ -268,3 +269,35 @@ def test_ids_beyond_an_int(spark):
     assert {r["product_id"] for r in products.collect()} == {wide * 2 + p for p in range(8)}
     top = L.top_products(users, products, pairs.limit(0), 3).collect()
     assert all((r["user_id"] - wide < 4) == (r["product_id"] - 2 * wide < 4) for r in top)
+
+
+def plain_isotonic(points):
+    """Pooled adjacent violators over (score, label) rows, one row at a time."""
+    totals = {}
+    for p, y in points:
+        a, n = totals.get(p, (0, 0))
+        totals[p] = (a + y, n + 1)
+    blocks = []
+    for p in sorted(totals):
+        blocks.append([[p], *totals[p]])
+        while len(blocks) > 1 and blocks[-2][1] / blocks[-2][2] >= blocks[-1][1] / blocks[-1][2]:
+            q, a, n = blocks.pop()
+            blocks[-1] = [blocks[-1][0] + q, blocks[-1][1] + a, blocks[-1][2] + n]
+    return {p: a / n for ps, a, n in blocks for p in ps}, len(blocks)
+
+
+@pytest.mark.parametrize("kind", ["noisy", "falling", "one score"])
+def test_isotonic_equals_brute_force(spark, kind):
+    rng = np.random.default_rng(8)
+    p = np.round(rng.random(3000), 3)
+    y = (rng.random(3000) < p**2).astype(int)
+    if kind == "falling":
+        y = (p < 0.5).astype(int)
+    if kind == "one score":
+        p[:] = 0.25
+    df = spark.createDataFrame([(float(a), int(b)) for a, b in zip(p, y)] + [(None, 1), (0.5, None)], "p double, y int")
+    blocks = B.isotonic_blocks(df, "p", "y")
+    want, n_blocks = plain_isotonic(list(zip(p.tolist(), y.tolist())))
+    assert blocks.count() == n_blocks <= 3 * 3000 ** (2 / 3)
+    got = {r["p"]: r["v"] for r in B.with_isotonic(df.where("p IS NOT NULL"), blocks, "p", "v").collect()}
+    assert got == pytest.approx(want)

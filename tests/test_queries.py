@@ -28,11 +28,14 @@ def test_oracles_belong_to_queries():
 
 
 def test_plans_stay_declarative(spark, data):
-    """No cross join anywhere, and no Python in the checked queries once orders are known to be small."""
+    """No cross join anywhere, and no Python in the checked queries once orders are known to be small. Properties of learned
+    models read scores of Python workers."""
     for name in ORACLES:
         plan = QUERIES[name](spark, data)._jdf.queryExecution().executedPlan().toString()
-        for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
+        for node in ("CartesianProduct", "BroadcastNestedLoopJoin"):
             assert node not in plan, (name, node)
+        for node in ("EvalPython", "InPandas"):
+            assert node not in plan or name.endswith("_properties"), (name, node)
 
 
 def test_entry(spark):
