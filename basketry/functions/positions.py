@@ -20,6 +20,10 @@ SCORE_DECIMALS = 9
 SCORE_SLICES_PER_UNIT = 10_000
 ID_SLICE = 100_000
 RANGE_SLICES = 4096
+# Rank error of approximate percentiles: one in so many.
+ACCURACY = 10_000
+# Groups of so few values are counted value by value.
+COUNTED = 50_000
 
 # Groups up to this many rows may be handled whole by one task.
 GROUP_LIMIT = 1_000_000
@@ -120,21 +124,56 @@ def dense_index(df: DataFrame, id_col: str, out: str) -> DataFrame:
 def quantiles(df: DataFrame, value: str, probs: dict[str, float], group: Sequence[str] = (), slice_by: Column | None = None) -> DataFrame:
     """Exact interpolated quantiles, one row per group with one column per entry of ``probs``.
 
-    Works on the counts of the distinct values ``_v``. Without ``slice_by`` the range of each group is
-    cut into ``RANGE_SLICES`` equal slices.
+    With ``slice_by``, which suits values with few distinct ones, the counts of all distinct values ``_v`` are summed up.
+    Without, values are selected in two passes: approximate percentiles with a bounded rank error give a bracket around each
+    quantile, and only the values inside are counted one by one, next to the number of values below the bracket. An outlier
+    changes neither the brackets nor what is moved.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*group, F.col(value).alias("_v")).agg(F.count("*").alias("n"))
-    if slice_by is None:
-        low, high = F.min("_v").alias("_low"), F.max("_v").alias("_high")
-        if group:
-            counts = join_null_safe(counts, counts.groupBy(*group).agg(low, high), list(group))
-        else:
-            edges = counts.agg(F.struct(low, high).alias("e")).scalar()
-            counts = counts.withColumn("_e", edges).withColumns({c: F.col(f"_e.{c}") for c in ("_low", "_high")})
-        place = F.try_divide((F.col("_v") - F.col("_low")) * RANGE_SLICES, F.col("_high") - F.col("_low"))
-        slice_by = F.coalesce(F.floor(place), F.lit(0))
-    cumulative = running_totals(counts, "_v", ["n"], slice_by, group)
-    return cumulative.groupBy(*group).agg(*quantile_sums(probs)).select(*group, *quantile_values(probs))
+    if slice_by is not None:
+        counts = df.where(F.col(value).isNotNull()).groupBy(*group, F.col(value).alias("_v")).agg(F.count("*").alias("n"))
+        cumulative = running_totals(counts, "_v", ["n"], slice_by, group)
+        return cumulative.groupBy(*group).agg(*quantile_sums(probs)).select(*group, *quantile_values(probs))
+    inside, totals = brackets(df, value, probs, group)
+    place = F.try_divide((F.col("_v") - F.col("_low")) * RANGE_SLICES, F.col("_high") - F.col("_low"))
+    placed = running_totals(inside, "_v", ["n"], F.coalesce(F.floor(place), F.lit(0)), [*group, "_prob"])
+    below = totals.select(*group, F.posexplode(F.array(*[F.col(f"_below_{k}") for k in range(len(probs))])).alias("_prob", "_below"), "_total")
+    found = join_null_safe(placed, below, [*group, "_prob"])
+    picks = []
+    for k, (name, p) in enumerate(probs.items()):
+        at = (F.col("_total") - 1) * F.lit(float(p))
+        upto = F.col("_below") + F.col("cum_n")
+        for end, position in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            holds = (F.col("_prob") == k) & (upto > position) & (upto - F.col("n") <= position)
+            picks.append(F.max(F.when(holds, F.col("_v"))).alias(f"_{end}_{name}"))
+    return found.groupBy(*group).agg(*picks, F.max("_total").alias("_total")).select(*group, *quantile_values(probs))
+
+
+def brackets(df: DataFrame, value: str, probs: dict[str, float], group: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """``(group, _prob, _v, n, _low, _high)``: the distinct values of the bracket around each quantile; and per group the numbers of all
+    values (``_total``) and of those below each bracket (``_below_k``).
+
+    ``percentile_approx`` errs by about one in ``ACCURACY`` ranks, so edges ten such steps away hold the wanted ranks between them.
+    Groups of at most ``COUNTED`` values, where a step is less than a few ranks, are counted whole.
+    """
+    rows = df.where(F.col(value).isNotNull()).select(*group, F.col(value).alias("_v"))
+    step = 10.0 / ACCURACY
+    wanted = [min(max(p + side * step, 0.0), 1.0) for p in probs.values() for side in (-1, 1)]
+    approximate = F.percentile_approx("_v", [float(p) for p in wanted], ACCURACY)
+    edges = rows.groupBy(*group).agg(F.struct(approximate.alias("at"), F.count("*").alias("n")).alias("_edges"))
+    if group:
+        known = join_null_safe(rows, edges, list(group))
+    else:
+        known = rows.withColumn("_edges", edges.scalar())
+    # The first and the last bracket reach to the ends, where an edge may lie inside.
+    large = F.col("_edges.n") > COUNTED
+    below = [large & (F.col("_v") < F.col("_edges.at")[2 * k]) if p > step else F.lit(False) for k, p in enumerate(probs.values())]
+    above = [large & (F.col("_v") > F.col("_edges.at")[2 * k + 1]) if p < 1 - step else F.lit(False) for k, p in enumerate(probs.values())]
+    totals = known.groupBy(*group).agg(F.count("*").alias("_total"), *[F.count_if(b).alias(f"_below_{k}") for k, b in enumerate(below)])
+    held = F.array(*[F.struct(F.lit(k).alias("_prob"), (~b & ~a).alias("_in")) for k, (b, a) in enumerate(zip(below, above))])
+    chosen = known.where(F.exists(held, lambda e: e["_in"])).select(*group, "_v", F.inline(held)).where("_in")
+    counts = chosen.groupBy(*group, "_prob", "_v").agg(F.count("*").alias("n"))
+    ends = counts.groupBy(*group, "_prob").agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    return join_null_safe(counts, ends, [*group, "_prob"]), totals
 
 
 def quantile_sums(probs: dict[str, float]) -> list[Column]:
