@@ -22,7 +22,7 @@ A document's set holds the hashes of its distinct five-word shingles. Sets link
   pairs and intersected by Spark. A set with many partners is dealt in portions of ``CHUNK`` partners. Different texts are written once,
   bucketed by their hashes, so that fetching some of them moves none of the others.
 
-Sets and texts are named by 128 bits, shingles by 64. Defined results: null, empty and blank texts have an empty set and are alone; with fewer
+Sets and texts are told apart by 128 bits, shingles by 64. Defined results: null, empty and blank texts have an empty set and are alone; with fewer
 than five words the whole sequence is one shingle; rows with a null id take part, but a component is named by its smallest id that
 is not null; ``kept`` is true for the rows whose id is the component's, nulls being equal to each other, so of repeated rows all stay or
 none; an empty table has no rows. Columns other than ``doc_id`` and ``text`` play no part.
@@ -119,7 +119,7 @@ def texts_of(docs: DataFrame) -> DataFrame:
 
 
 def signatures(texts: DataFrame) -> DataFrame:
-    """``(t1, t2, n, name, signature, keys)`` of every text."""
+    """``(t1, t2, n, digest, signature, keys)`` of every text; ``digest`` tells sets apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held, sets in _portions(batches):
@@ -127,9 +127,9 @@ def signatures(texts: DataFrame) -> DataFrame:
             some = (sets.sizes > 0).astype(np.int64)
             columns = [held.column(c) for c in ("t1", "t2")]
             columns += [pa.array(sets.sizes.astype(np.int64)), _binaries(names(sets)), _lists(packed(least), some * SIGNATURE), _lists(band_keys(least), some * BANDS)]
-            yield pa.RecordBatch.from_arrays(columns, ["t1", "t2", "n", "name", "signature", "keys"])
+            yield pa.RecordBatch.from_arrays(columns, ["t1", "t2", "n", "digest", "signature", "keys"])
 
-    return texts.mapInArrow(run, "t1 long, t2 long, n long, name binary, signature array<long>, keys array<long>")
+    return texts.mapInArrow(run, "t1 long, t2 long, n long, digest binary, signature array<long>, keys array<long>")
 
 
 def estimate(a: str = "sa", b: str = "sb") -> Column:
@@ -186,15 +186,15 @@ class Links:
         """Make the full sets of ``wanted(name)`` that there are not yet."""
         if self.items is not None:
             wanted = wanted.join(self.items.select("name"), "name", "left_anti")
-        places = materialize(self.sets.join(wanted, "name").select("place.*"), "bbit-wanted")
+        places = materialize(self.sets.join(wanted, "name").select("name", "place.*"), "bbit-wanted")
         if places.isEmpty():
             return
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for _, sets in _portions(batches):
-                yield pa.RecordBatch.from_arrays([_binaries(names(sets)), _lists(sets.items, sets.sizes)], ["name", "items"])
+            for held, sets in _portions(batches):
+                yield pa.RecordBatch.from_arrays([held.column("name"), _lists(sets.items, sets.sizes)], ["name", "items"])
 
-        made = self.texts.join(places, ["t1", "t2"], "left_semi").select("text").mapInArrow(run, "name binary, items array<long>")
+        made = self.texts.join(places, ["t1", "t2"]).select("name", "text").mapInArrow(run, "name long, items array<long>")
         made = materialize(made, "bbit-items")
         self.items = made if self.items is None else self.items.unionByName(made)
 
@@ -211,13 +211,15 @@ class Links:
 
 
 def clusters(docs: DataFrame, kept: Buckets) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(doc_id, t1, t2)`` of all rows, ``(t1, t2, n, name)`` of all texts, and ``(node, component)`` of the set names that link with another."""
+    """``(doc_id, t1, t2)`` of all rows, ``(t1, t2, n, name)`` of all texts with words, and ``(node, component)`` of the sets that link with
+    another, by their names."""
     every = texts_of(docs)
     rows = materialize(every.select("doc_id", "t1", "t2"), "bbit-rows")
     texts = kept.write(every.groupBy("t1", "t2").agg(F.first("text").alias("text")), "bbit-texts")
     found = materialize(signatures(texts), "bbit-signatures")
-    sets = found.where("n > 0").groupBy("name").agg(*[F.first(c).alias(c) for c in ("n", "signature", "keys")], F.min(F.struct("t1", "t2")).alias("place"))
-    sets = materialize(sets, "bbit-sets")
+    sets = found.where("n > 0").groupBy("digest").agg(*[F.first(c).alias(c) for c in ("n", "signature", "keys")], F.min(F.struct("t1", "t2")).alias("place"))
+    # Written once, a row's number is its name from here on: half as long as the digest.
+    sets = materialize(sets.withColumn("name", F.monotonically_increasing_id()), "bbit-sets")
     runs = materialize(runs_of(sets), "bbit-runs")
 
     links = Links(texts, sets)
@@ -248,7 +250,8 @@ def clusters(docs: DataFrame, kept: Buckets) -> tuple[DataFrame, DataFrame, Data
             if not tried.isEmpty():
                 links.add(tried)
                 apart = still_apart(apart.select("run", "name"), links)
-    return rows, found, links.groups
+    named = found.where("n > 0").select("t1", "t2", "n", "digest").join(sets.select("digest", "name"), "digest").drop("digest")
+    return rows, named, links.groups
 
 
 def ends(pairs: DataFrame) -> DataFrame:
@@ -324,7 +327,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     finally:
         kept.discard_all()
     least = rows.groupBy("t1", "t2").agg(F.min("doc_id").alias("least"))
-    per_text = found.where("n > 0").select("t1", "t2", "n", "name").join(least, ["t1", "t2"])
+    per_text = found.join(least, ["t1", "t2"])
     of = per_text.join(groups.withColumnRenamed("node", "name"), "name", "left").withColumn("component", F.coalesce("component", "name"))
     first = of.groupBy("component").agg(F.min("least").alias("component_id"))
     by_text = of.join(first, "component").select("t1", "t2", "n", "component_id")
