@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.functions.skew import split_join
 from basketry.operators.features import PAIR_FEATURES, PRODUCT_FEATURES, USER_FEATURES, history_pairs
 
 # Column order of the candidate table.
@@ -15,16 +18,15 @@ FEATURE_COLUMNS = [*ORDER_COLUMNS, *SIMILARITY_COLUMNS, *USER_FEATURES, *PRODUCT
 # End of the fixed values.
 
 
-def expand_candidates(targets: DataFrame, history: DataFrame, owners: DataFrame | None = None) -> DataFrame:
+def expand_candidates(targets: DataFrame, history: DataFrame, owners: DataFrame | None = None, carried: Sequence[str] = ()) -> DataFrame:
     """Every target order with all products its user bought before.
 
-    The history is a long table, not a list per user, and brings further columns along. A user without
-    history keeps one row with a null product. Orders meet the history in an inner join, which Spark can split
-    where a user is hot (a left join's right side it cannot); the others are added by an anti join with
-    ``owners``, the users of the history, so give a cheap table of them if there is one.
+    The history is a long table, not a list per user, and brings further columns along; ``carried`` names those of the targets.
+    A user without history keeps one row with a null product. The history of a hot user is split over several tasks; users without
+    one are added by an anti join with ``owners``, the users of the history, so give a cheap table of them if there is one.
     """
-    wanted = targets.select("user_id", "order_id", *ORDER_COLUMNS)
-    found = wanted.join(history, "user_id")
+    wanted = targets.select("user_id", "order_id", *ORDER_COLUMNS, *carried)
+    found = split_join(history, wanted, "user_id")
     users = (history if owners is None else owners).select("user_id").distinct()
     alone = wanted.join(users, "user_id", "left_anti")
     return found.unionByName(alone, allowMissingColumns=True)
@@ -44,13 +46,14 @@ def attach_similarity(candidates: DataFrame, pair_scores: DataFrame) -> DataFram
     return joined.withColumns({**fill, "sim_nonzero_cnt": F.coalesce("sim_nonzero_cnt", F.lit(0)).cast("bigint")})
 
 
-def attach_features(candidates: DataFrame, users: DataFrame, products: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+def attach_features(candidates: DataFrame, users: DataFrame | None, products: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """Star join of the feature tables; numeric gaps become 0, also the gap of a first order.
 
-    ``pairs`` is left out if the history brought its columns along.
+    ``pairs`` is left out if the history brought its columns along, ``users`` if the targets did.
     """
     joined = candidates if pairs is None else candidates.join(pairs, ["user_id", "product_id"], "left")
-    joined = joined.join(users, "user_id", "left").join(products, "product_id", "left")
+    joined = joined if users is None else joined.join(users, "user_id", "left")
+    joined = joined.join(products, "product_id", "left")
     filled = [c for c in FEATURE_COLUMNS if c in joined.columns]
     return joined.na.fill(0, filled)
 

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketry.functions.skew import split_join
 from basketry.functions.positions import quantile_sums, quantile_values, rounded, running_totals, score_slice
 
 KS = (5, 10, 20)
@@ -200,10 +201,10 @@ def first_hits(df: DataFrame, group: str = "order_id", item: str = "product_id",
     """
     rows = df.select(group, item, F.col(label).alias("_y"), rounded(score).alias("_s"))
     best_score = rows.where("_y = 1").groupBy(group).agg(F.max("_s").alias("_best"))
-    ties = rows.where("_y = 1").join(best_score, group).where("_s = _best")
+    ties = split_join(rows.where("_y = 1"), best_score, group).where("_s = _best")
     best = ties.groupBy(group).agg(F.max("_best").alias("_best"), F.min(item).alias("_item"))
     ahead = (F.col("_s") > F.col("_best")) | ((F.col("_s") == F.col("_best")) & (F.col(item) < F.col("_item")))
-    placed = rows.join(best, group, "left").groupBy(group).agg(F.max("_best").alias("_best"), F.count_if(ahead).alias("_ahead"))
+    placed = split_join(rows, best, group, "left").groupBy(group).agg(F.max("_best").alias("_best"), F.count_if(ahead).alias("_ahead"))
     found = placed.select(group, F.when(F.col("_best").isNotNull(), F.col("_ahead") + 1).alias("first_rank"))
     return found.select(
         group,

@@ -105,12 +105,13 @@ class Inputs:
         """The candidate table with all features.
 
         Every feature reads the columns it needs of the totals per (user, product). Features of that
-        grain are joined to the history before it is expanded to the target orders.
+        grain are joined to the history, those of users to the target orders, before one is expanded to the other.
         """
         lines = self.prior(self.folded)
         history = X.pair_features(lines, self.totals).join(self.written_pair_scores, ["user_id", "product_id"])
-        candidates = C.expand_candidates(X.split(self.folded.orders, split), history, self.totals)
-        joined = C.attach_features(candidates, X.user_features(lines, totals=self.totals), X.product_features(lines, self.totals))
+        targets = X.split(self.folded.orders, split).join(X.user_features(lines, totals=self.totals), "user_id", "left")
+        candidates = C.expand_candidates(targets, history, self.totals, X.USER_FEATURES)
+        joined = C.attach_features(candidates, None, X.product_features(lines, self.totals))
         if split == "train":
             joined = C.attach_labels(joined, X.split(self.folded.baskets, "train"))
         return C.ordered_columns(joined)

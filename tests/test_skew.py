@@ -3,8 +3,11 @@
 import duckdb
 import pytest
 from check import TABLES, connect, difference
+from pyspark.sql import functions as F
 
 import basketry.functions.positions as positions
+from basketry.functions import skew
+from basketry.operators import candidates as C
 from basketry.plans import ORACLES, QUERIES
 from basketry.sources import star
 
@@ -57,9 +60,58 @@ def small_groups():
     with pytest.MonkeyPatch.context() as patch:
         patch.setattr(star, "GROUP_LIMIT", 20)
         patch.setattr(positions, "GROUP_LIMIT", 20)
+        patch.setattr(skew, "HEAVY_ROWS", 20)
         yield
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_skewed_tables(spark, skewed, small_groups, name):
     assert difference(QUERIES[name](spark, skewed), connect(skewed), ORACLES[name]) == ""
+
+
+@pytest.fixture
+def hot(spark, monkeypatch):
+    """60,000 rows of which one user has a third, and the limit from which a key is split."""
+    monkeypatch.setattr(skew, "HEAVY_ROWS", 2_000)
+    user = F.when(F.col("id") % 3 == 0, 7).otherwise(100 + F.col("id") % 501)
+    rows = spark.range(60_000).select(user.cast("long").alias("user_id"), F.col("id").alias("product_id"), F.when(F.col("id") % 11 == 0, 1.0).alias("v"))
+    return rows.unionByName(spark.createDataFrame([(None, 1, 2.0), (99, 1, 3.0)], "user_id long, product_id long, v double"))
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_split_join_gives_the_same_rows(spark, hot, how):
+    small = spark.createDataFrame([(7, "a"), (7, "b"), (101, "c"), (None, "d"), (5, "e")], "user_id long, w string")
+    plain = hot.join(small, "user_id", how).groupBy("user_id", "w").agg(F.count("*").alias("n"), F.sum("product_id").alias("s"), F.count("v").alias("v"))
+    split = skew.split_join(hot, small, "user_id", how).groupBy("user_id", "w").agg(F.count("*").alias("n"), F.sum("product_id").alias("s"), F.count("v").alias("v"))
+    assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, split.collect()), key=str)
+
+
+def task_rows(spark, df):
+    """Rows of each task of the last stage, without the help of adaptive skew splitting and coalescing."""
+    with pytest.MonkeyPatch.context():
+        old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            found = df().groupBy(F.spark_partition_id().alias("p")).count().collect()
+        finally:
+            for k, v in old.items():
+                spark.conf.set(k, v)
+    return sorted(r["count"] for r in found)
+
+
+def test_no_task_has_the_hot_user(spark, hot):
+    orders = [F.lit(1).alias(c) for c in C.ORDER_COLUMNS]
+    targets = hot.select("user_id").distinct().where("user_id IS NOT NULL").select("user_id", F.col("user_id").alias("order_id"), *orders)
+    plain = task_rows(spark, lambda: targets.join(hot, "user_id"))
+    split = task_rows(spark, lambda: C.expand_candidates(targets, hot.where("user_id IS NOT NULL")))
+    assert sum(plain) == sum(split)
+    middle = split[len(split) // 2]
+    assert max(plain) > 3 * plain[len(plain) // 2] and max(split) < 3 * middle
+
+
+def test_few_keys_are_heavy(spark, hot, monkeypatch):
+    assert [r["user_id"] for r in skew.heavy_keys(hot, "user_id").collect()] == [7]
+    monkeypatch.setattr(skew, "HEAVY_ROWS", 1)
+    monkeypatch.setattr(skew, "MOST_KEYS", 10)
+    assert skew.heavy_keys(hot, "user_id").count() <= 10
