@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketry.session import materialize
+
 # Scores are compared after rounding to this many decimals, so that the order does not depend on the
 # order in which a sum was taken.
 SCORE_DECIMALS = 9
@@ -25,6 +27,9 @@ ACCURACY = 10_000
 # Groups of so few values are counted value by value.
 COUNTED = 50_000
 
+# Rows of a range of a sorted table.
+SLICE_ROWS = 50_000
+
 # Groups up to this many rows may be handled whole by one task.
 GROUP_LIMIT = 1_000_000
 
@@ -86,6 +91,30 @@ def grouped_position(
     )
 
 
+def in_ranges(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
+    """``df`` written in ranges of ``keys``: ``_slice`` numbers the ranges in order, ``_nth`` the rows of each. Spark samples the edges, so
+    ranges are about even however the values lie."""
+    rows = materialize(df, "rows")
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.count() // SLICE_ROWS + 1)
+    number = {_SLICE: F.spark_partition_id(), "_nth": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}
+    return materialize(rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumns(number), "ranges")
+
+
+def ranged_position(df: DataFrame, group: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
+    """1-based position of every row in its group, for groups of any size and values of any distribution.
+
+    The whole table is sorted once by ranges of (group, order); a position is the place in the range plus the rows of the group
+    in the ranges before. ``order`` should end with a column that tells the rows of a group apart. Runs at once.
+    """
+    placed = in_ranges(df, [*[F.col(g).asc_nulls_first() for g in group], *order])
+    keys = [*group, _SLICE]
+    before = Window.partitionBy(*group).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_nth").alias("_first"))
+    shifts = counts.select(*keys, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    found = join_null_safe(placed, shifts, keys).withColumn(out, (F.col("_nth") + F.col("_shift") + 1).cast("bigint"))
+    return found.drop(_SLICE, "_nth", "_shift")
+
+
 def running_totals(
     df: DataFrame, key: str, values: Sequence[str], slice_by: Column, group: Sequence[str] = (), descending: bool = False
 ) -> DataFrame:
@@ -115,9 +144,9 @@ def running_totals(
 
 
 def dense_index(df: DataFrame, id_col: str, out: str) -> DataFrame:
-    """0-based index of the sorted distinct ids; each slice covers at most ``ID_SLICE`` ids."""
+    """0-based index of the sorted distinct ids, however far they are apart."""
     ids = df.select(id_col).where(F.col(id_col).isNotNull()).distinct()
-    placed = grouped_position(ids, [], F.floor(F.col(id_col) / ID_SLICE), [F.col(id_col)], out)
+    placed = ranged_position(ids, [], [F.col(id_col)], out)
     return placed.select(id_col, (F.col(out) - 1).alias(out))
 
 

@@ -9,6 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from basketry.functions.positions import ranged_position, rounded
 from basketry.operators import attribution as A
 from basketry.operators import calibrate as B
 from basketry.operators import candidates as C
@@ -186,10 +187,8 @@ _TOP10 = """SELECT user_id, order_id, product_id, round(score, 6) AS score, rank
 
 @query("w01_rank_in_group", _TOP10)
 def _(i: Inputs):
-    from basketry.functions.positions import grouped_position, rounded
-
     rows = i.scored("test").withColumn("_s", rounded("score"))
-    placed = grouped_position(rows, ["order_id"], F.floor(F.col("_s") * 16), [F.col("_s").desc(), F.col("product_id")], "rank", descending=True)
+    placed = ranged_position(rows, ["order_id"], [F.col("_s").desc(), F.col("product_id")], "rank")
     return placed.select("user_id", "order_id", "product_id", "score", "rank")
 
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+from functools import lru_cache, reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions import scalars as E
-from basketry.functions.positions import ID_SLICE, dense_index, grouped_position
+from basketry.functions.positions import dense_index, ranged_position
 from basketry.operators import candidates as C
 from basketry.operators import explore as P
 from basketry.operators import features as X
@@ -15,7 +17,7 @@ from basketry.operators import metrics as M
 from basketry.operators import quality as V
 from basketry.operators import recommend as R
 from basketry.plans.registry import Inputs, query
-from basketry.session import scratch_path
+from basketry.session import Buckets, scratch_path
 from basketry.sources import tables as T
 
 # Images of the departments that have one.
@@ -67,6 +69,53 @@ def _(i: Inputs):
     return i.natural.departments
 
 
+MALFORMED = 97  # one order in so many is written a second time with a value that its column can't hold
+
+
+@lru_cache(maxsize=4)
+def _csv_tables(i: Inputs):
+    """The base tables, written as CSV with malformed lines among the orders, and loaded again with their counts."""
+    folder, tables = scratch_path(i.spark, "csv"), i.natural
+    lines = tables.order_products
+    orders = tables.orders.select(*[F.col(c).cast("string").alias(c) for c in tables.orders.columns])
+    wrong = F.when(F.pmod(F.col("order_id").cast("long"), F.lit(2 * MALFORMED)) == 0, "40000").otherwise("many")
+    again = orders.where(F.pmod(F.col("order_id").cast("long"), F.lit(MALFORMED)) == 0).withColumn("order_number", wrong)
+    written = {
+        "orders": orders.unionByName(again),
+        "order_products__prior": X.split(lines, "prior"),
+        "order_products__train": X.split(lines, "train"),
+        "products": tables.products,
+        "aisles": tables.aisles,
+        "departments": tables.departments,
+    }
+    for name, df in written.items():
+        T.write_csv_table(df, folder, name)
+    return {name: T.load_checked_csv(i.spark, folder, name) for name in written}
+
+
+@query("s01_csv_orders", "SELECT order_id, user_id, eval_set, order_number, order_dow, order_hour_of_day, days_since_prior_order FROM b_orders")
+def _(i: Inputs):
+    table, _ = _csv_tables(i)["orders"]
+    return table.where(F.col(T.CORRUPT).isNull()).drop(T.CORRUPT)
+
+
+@query("s01_csv_order_products", "SELECT order_id, product_id, add_to_cart_order, reordered FROM b_facts WHERE eval_set = 'prior'")
+def _(i: Inputs):
+    return _csv_tables(i)["order_products__prior"][0].drop(T.CORRUPT)
+
+
+@query(
+    "s01_csv_counts",
+    f"""SELECT 'orders' AS table_name, count(*) + count(*) FILTER (WHERE order_id % {MALFORMED} = 0) AS n_rows, count(*) FILTER (WHERE order_id % {MALFORMED} = 0) AS n_corrupt FROM b_orders
+    UNION ALL SELECT 'order_products__prior', count(*), 0 FROM b_facts WHERE eval_set = 'prior'
+    UNION ALL SELECT 'order_products__train', count(*), 0 FROM b_facts WHERE eval_set = 'train'
+    UNION ALL SELECT 'products', count(*), 0 FROM b_products UNION ALL SELECT 'aisles', count(*), 0 FROM b_aisles
+    UNION ALL SELECT 'departments', count(*), 0 FROM b_departments""",
+)
+def _(i: Inputs):
+    return reduce(DataFrame.unionByName, [counts for _, counts in _csv_tables(i).values()])
+
+
 @query(
     "s02_table_shapes",
     """SELECT 'orders' AS table_name, count(*) AS n_rows, CAST(7 AS BIGINT) AS n_columns FROM b_orders
@@ -394,6 +443,20 @@ def _(i: Inputs):
     return C.attach_similarity(i.base("test"), i.written_pair_scores).select(*C.ID_COLUMNS, *C.SIMILARITY_COLUMNS)
 
 
+@query(
+    "s10_j05_bucketed_similarity",
+    """SELECT c.user_id, c.order_id, c.product_id, round(coalesce(als_score, 0.0), 6) AS als_score, round(coalesce(sim_max, 0.0), 6) AS sim_max,
+      round(coalesce(sim_mean, 0.0), 6) AS sim_mean, round(coalesce(sim_topk_mean_10, 0.0), 6) AS sim_topk_mean_10, coalesce(sim_nonzero_cnt, 0) AS sim_nonzero_cnt
+    FROM f_cand c LEFT JOIN f_scores s ON s.user_id = c.user_id AND s.product_id = c.product_id WHERE eval_set = 'train'""",
+)
+def _(i: Inputs):
+    """Candidates and pair scores as tables bucketed and sorted by user and product: joining them moves no row."""
+    layout = Buckets(i.spark, ["user_id", "product_id"], int(i.spark.conf.get("spark.sql.shuffle.partitions")))
+    candidates = layout.write(i.base("train").select(*C.ID_COLUMNS), "candidates")
+    scores = layout.write(i.written_pair_scores, "pair-scores")
+    return C.attach_similarity(candidates, scores).select(*C.ID_COLUMNS, *C.SIMILARITY_COLUMNS)
+
+
 _ROUNDED = {
     "days_since_prior_order", "als_score", "sim_max", "sim_mean", "sim_topk_mean_10", "u_avg_basket_size", "u_reorder_ratio", "u_mean_days_between",
     "u_std_days_between", "p_avg_add_to_cart", "p_reorder_prob", "up_avg_add_to_cart", "up_rate_in_user_history",
@@ -495,8 +558,7 @@ def _(i: Inputs):
 def _(i: Inputs):
     pairs = X.interactions(i.prior_baskets(i.folded))
     order = [F.col("count").desc(), F.col("user_id"), F.col("product_id")]
-    slices = F.struct(-F.col("count"), F.floor(F.col("user_id") / ID_SLICE))
-    return grouped_position(pairs, [], slices, order, "place").orderBy(*order)
+    return ranged_position(pairs, [], order, "place").orderBy(*order)
 
 
 @query("l02_global_top", "SELECT user_id, product_id, round(score, 6) AS score FROM f_scored WHERE eval_set = 'test' ORDER BY round(f_scored.score, 9) DESC, user_id, product_id LIMIT 25")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.operators.candidates import FEATURE_COLUMNS, ID_COLUMNS
@@ -16,7 +16,7 @@ from basketry.operators.qda import QdaFit, QdaModel
 from basketry.operators.quality import SchemaError, require_columns
 from basketry.operators.ranker import Ranker, tree_rows
 from basketry.operators.trees import Tree
-from basketry.session import path_exists
+from basketry.session import materialize, path_exists
 
 # Schemas of the six base tables and their file names.
 ORDER_PRODUCT_SCHEMA = "order_id int, product_id int, add_to_cart_order smallint, reordered tinyint"
@@ -58,6 +58,33 @@ def load_csv_tables(spark: SparkSession, folder: str, names: Sequence[str] = tup
     return {n: spark.read.schema(CSV_TABLES[n]).option("header", True).option("escape", '"').csv(f"{folder.rstrip('/')}/{n}.csv") for n in names}
 
 
+CORRUPT = "_corrupt"
+
+
+def load_checked_csv(spark: SparkSession, folder: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """A base table from CSV, and ``(table_name, n_rows, n_corrupt)`` of it, both from one read.
+
+    A line with too few or too many fields, or with a value that its column can't hold (text in a number, a number beyond
+    SMALLINT), is corrupt: it is counted, kept as text in ``_corrupt`` of the first table, and its other columns are what could be read.
+    The table is written once as Parquet, as a pruned read of the lines would not parse them whole.
+    """
+    schema = f"{CSV_TABLES[name]}, {CORRUPT} string"
+    read = spark.read.schema(schema).option("header", True).option("escape", '"').option("enforceSchema", False).option("columnNameOfCorruptRecord", CORRUPT)
+    seen = Observation()
+    rows = read.csv(f"{folder.rstrip('/')}/{name}.csv").observe(seen, F.count("*").alias("n"), F.count(CORRUPT).alias("bad"))
+    table = materialize(rows, f"csv-{name}")
+    counts = spark.createDataFrame([(name, seen.get["n"], seen.get["bad"])], "table_name string, n_rows long, n_corrupt long")
+    return table, counts
+
+
+def write_csv_table(df: DataFrame, folder: str, name: str) -> str:
+    """A base table as CSV with a header, with the columns and order of its schema."""
+    path = f"{folder.rstrip('/')}/{name}.csv"
+    columns = [c.split()[0] for c in CSV_TABLES[name].split(", ")]
+    df.select(*columns).write.mode("errorifexists").option("header", True).option("escape", '"').csv(path)
+    return path
+
+
 def _typed_csv(spark: SparkSession, path: str) -> DataFrame:
     """A candidate CSV with the types that its column names imply; only the header is looked at."""
     names = spark.read.option("header", True).csv(path).columns

@@ -51,3 +51,26 @@ def test_only_brackets_are_moved(spark):
     inside, totals = P.brackets(df, "v", {"q25": 0.25, "median": 0.5, "q75": 0.75})
     assert totals.first()["_total"] == 200_000
     assert 0 < inside.agg(F.sum("n")).first()[0] < 2_000
+
+
+def test_positions_in_even_ranges(spark):
+    """A group of a million rows with scores below 1e-6, next to small groups and a null one."""
+    score = F.when(F.col("id") < 1_000_000, F.col("id") * 1e-13).otherwise(F.col("id") % 7 / 7)
+    group = F.when(F.col("id") < 1_000_000, 1).otherwise(F.when(F.col("id") % 5 > 0, F.col("id") % 5 + 1))
+    rows = spark.range(1_000_400).select("id", group.alias("g"), score.alias("s"))
+    order = [F.col("s").desc(), F.col("id")]
+    sizes = [r["count"] for r in P.in_ranges(rows, [F.col("g").asc_nulls_first(), *order]).where("g = 1").groupBy("_slice").count().collect()]
+    assert len(sizes) >= 16 and max(sizes) < 3 * sorted(sizes)[len(sizes) // 2]
+    placed = P.ranged_position(rows, ["g"], order, "p")
+    assert placed.where("g = 1 AND p <> 1000000 - id").count() == 0
+    small = {(r["g"], r["id"]): r["p"] for r in placed.where("g IS NULL OR g > 1").collect()}
+    plain = rows.where("g IS NULL OR g > 1").toPandas()
+    want = plain.sort_values(["s", "id"], ascending=[False, True])
+    want["p"] = want.groupby("g", dropna=False).cumcount() + 1
+    assert small == {(None if r.g != r.g else int(r.g), int(r.id)): r.p for r in want.itertuples()}
+
+
+def test_dense_index_of_ids_far_apart(spark):
+    ids = [5, -3, 1 << 60, 12345678901234, -(1 << 61), 5]
+    df = spark.createDataFrame([(v,) for v in ids] + [(None,)], "k long")
+    assert {r["k"]: r["at"] for r in P.dense_index(df, "k", "at").collect()} == {v: n for n, v in enumerate(sorted(set(ids)))}

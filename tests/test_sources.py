@@ -12,6 +12,7 @@ from basketry.operators.explore import basket_summary
 from basketry.plans import QUERIES
 from basketry.plans.oracle import oracle
 from basketry.sources import star
+from basketry.sources import tables as T
 from pyspark.sql import functions as F
 
 
@@ -74,3 +75,41 @@ def test_basket_summary_copies_no_rows(spark):
     assert tuple(summary.first()) == (5, 3, 2, 2, 2)
     assert "Expand" not in summary._jdf.queryExecution().executedPlan().toString()
     assert tuple(basket_summary(rows, 0.01).first()) == (5, 3, 2, 2, 2)
+
+
+CSV = """order_id,user_id,eval_set,order_number,order_dow,order_hour_of_day,days_since_prior_order
+1,7,prior,1,2,8,
+2,7,prior,40000,2,8,3.0
+3,7,train,two,2,8,3.0
+4,7,train,3
+5,8,prior,1,2,8,1.5,extra
+6,,prior,2,2,8,4.0
+"""
+
+
+def test_corrupt_csv_lines_are_counted_in_the_same_read(spark, tmp_path):
+    (tmp_path / "orders.csv").write_text(CSV)
+    table, counts = T.load_checked_csv(spark, str(tmp_path), "orders")
+    assert [tuple(r) for r in counts.collect()] == [("orders", 6, 4)]
+    good = [tuple(r) for r in table.where(F.col(T.CORRUPT).isNull()).drop(T.CORRUPT).orderBy("order_id").collect()]
+    assert good == [(1, 7, "prior", 1, 2, 8, None), (6, None, "prior", 2, 2, 8, 4.0)]
+    assert {r[T.CORRUPT].split(",")[0] for r in table.where(F.col(T.CORRUPT).isNotNull()).collect()} == {"2", "3", "4", "5"}
+    assert dict(table.dtypes)["order_number"] == "smallint"
+
+
+def test_an_empty_csv_table(spark, tmp_path):
+    (tmp_path / "aisles.csv").write_text("aisle_id,aisle\n")
+    table, counts = T.load_checked_csv(spark, str(tmp_path), "aisles")
+    assert table.count() == 0 and counts.first()["n_rows"] == 0
+
+
+def test_bucketed_join_has_no_exchange(spark, data):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = QUERIES["s10_j05_bucketed_similarity"](spark, data)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
