@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-# Natural blocks keep part keys as products; folded ones (names with ``f_``) use the key modulo 100.
+# Natural blocks keep part keys as products; folded ones (names with ``f_``) take the suppliers.
 _ORDERS = """
 SELECT order_id, user_id,
   CASE WHEN order_number < n_orders THEN 'prior' WHEN user_id % 5 < 3 THEN 'train' ELSE 'test' END AS eval_set,
@@ -34,12 +34,15 @@ FROM {lines} l LEFT JOIN b_orders o ON l.order_id = o.order_id
 """
 
 _PRODUCTS = """
-SELECT product_id, product_name, aisle_id, department_id FROM (
-  SELECT {product} AS product_id, p_name AS product_name, CAST(regexp_extract(p_brand, '(\\d+)', 1) AS BIGINT) AS aisle_id,
-    CAST(CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'LARGE' THEN 2 WHEN 'MEDIUM' THEN 3 WHEN 'PROMO' THEN 4
-      WHEN 'SMALL' THEN 5 WHEN 'STANDARD' THEN 6 END AS BIGINT) AS department_id,
-    row_number() OVER (PARTITION BY {product} ORDER BY p_partkey) AS nth
-  FROM part) WHERE nth = 1
+SELECT p_partkey AS product_id, p_name AS product_name, CAST(regexp_extract(p_brand, '(\\d+)', 1) AS BIGINT) AS aisle_id,
+  CAST(CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'LARGE' THEN 2 WHEN 'MEDIUM' THEN 3 WHEN 'PROMO' THEN 4
+    WHEN 'SMALL' THEN 5 WHEN 'STANDARD' THEN 6 END AS BIGINT) AS department_id
+FROM part
+"""
+
+_SUPPLIERS = """
+SELECT s_suppkey AS product_id, s_name AS product_name, CAST(s_nationkey AS BIGINT) AS aisle_id, CAST(n_regionkey AS BIGINT) AS department_id
+FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey
 """
 
 _USER_FEATURES = """
@@ -167,13 +170,14 @@ FROM f_ranked GROUP BY order_id
 BLOCKS = {
     "b_orders": _ORDERS,
     "b_lines": _LINES.format(product="l_partkey"),
-    "f_lines": _LINES.format(product="l_partkey % 100"),
+    "f_lines": _LINES.format(product="l_suppkey"),
     "b_facts": _FACTS.format(lines="b_lines"),
     "f_facts": _FACTS.format(lines="f_lines"),
-    "b_products": _PRODUCTS.format(product="p_partkey"),
-    "f_products": _PRODUCTS.format(product="p_partkey % 100"),
+    "b_products": _PRODUCTS,
+    "f_products": _SUPPLIERS,
     "b_aisles": "SELECT DISTINCT CAST(regexp_extract(p_brand, '(\\d+)', 1) AS BIGINT) AS aisle_id, p_brand AS aisle FROM part",
     "b_departments": "SELECT DISTINCT department_id, p_type AS department FROM part JOIN b_products ON p_partkey = product_id",
+    "f_departments": "SELECT CAST(r_regionkey AS BIGINT) AS department_id, r_name AS department FROM region",
     "b_edges": _EDGES.format(facts="b_facts"),
     "f_edges": _EDGES.format(facts="f_facts"),
     "f_user": _USER_FEATURES.format(facts="f_facts"),
@@ -193,7 +197,7 @@ BLOCKS = {
       (SELECT o.user_id, o.order_number, f.product_id FROM b_orders o LEFT JOIN b_facts f ON f.order_id = o.order_id WHERE o.eval_set = 'prior'))
       WHERE order_number = last AND product_id IS NOT NULL""",
     "b_catalog": "SELECT p.*, d.department FROM b_products p LEFT JOIN b_departments d ON d.department_id = p.department_id",
-    "f_catalog": "SELECT p.*, d.department FROM f_products p LEFT JOIN b_departments d ON d.department_id = p.department_id",
+    "f_catalog": "SELECT p.*, d.department FROM f_products p LEFT JOIN f_departments d ON d.department_id = p.department_id",
     "b_history": """SELECT f.user_id, f.product_id, count(*) AS purchase_count, CAST(sum(f.reordered) AS BIGINT) AS reordered
       FROM b_facts f WHERE eval_set = 'prior' GROUP BY 1, 2""",
     "f_history": """SELECT f.user_id, f.product_id, count(*) AS purchase_count, CAST(sum(f.reordered) AS BIGINT) AS reordered

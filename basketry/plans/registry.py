@@ -17,13 +17,12 @@ from basketry.plans.oracle import oracle
 from basketry.session import materialize, path_exists, source_state
 from basketry.sources.star import BasketTables, load_star
 
-FOLD = 100
 DECIMALS = 6
 
 
 @dataclass(frozen=True, eq=False)
 class Inputs:
-    """Tables with natural product keys (``natural``) and folded ones, where users buy products again."""
+    """Tables with parts as products (``natural``), and with parts folded onto their suppliers (``folded``), which users buy again."""
 
     spark: SparkSession
     path: str
@@ -39,7 +38,7 @@ class Inputs:
 
     @cached_property
     def folded(self) -> BasketTables:
-        return load_star(self.spark, self.path, FOLD, staged=True, kept=self.kept)
+        return load_star(self.spark, self.path, by_supplier=True, staged=True, kept=self.kept)
 
     def catalog(self, tables: BasketTables) -> DataFrame:
         return tables.products.join(tables.departments, "department_id", "left")
@@ -117,14 +116,14 @@ class Inputs:
         return C.ordered_columns(joined)
 
 
-SOURCES = ("orders", "lineitem", "part")
+SOURCES = ("orders", "lineitem", "part", "supplier", "nation", "region")
 _INPUTS: dict[tuple[str, str], tuple[tuple, Inputs]] = {}
 
 
 def inputs(spark: SparkSession, path: str) -> Inputs:
     """The inputs of a data folder; built anew if a source table has changed or one of their written tables is gone."""
     key = (spark.sparkContext.applicationId, path)
-    state = source_state(spark, [f"{path.rstrip('/')}/{t}.parquet" for t in SOURCES])
+    state = source_state(spark, [p for t in SOURCES if path_exists(spark, p := f"{path.rstrip('/')}/{t}.parquet")])
     known = _INPUTS.get(key)
     if known is None or known[0] != state or not all(path_exists(spark, p) for p in known[1].kept):
         _INPUTS[key] = known = (state, Inputs(spark, path))

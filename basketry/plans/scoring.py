@@ -6,7 +6,6 @@ from functools import lru_cache
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from basketry.functions.positions import ranged_position, rounded
@@ -313,11 +312,11 @@ def _(i: Inputs):
     "r11_filtered_ranking",
     """SELECT user_id, order_id, product_id, round(score, 6) AS score, rank, product_name, department FROM (
       SELECT c.*, p.product_name, p.department, row_number() OVER (PARTITION BY c.user_id, c.order_id ORDER BY round(score, 9) DESC, c.product_id) AS rank
-      FROM f_scored c LEFT JOIN f_catalog p ON p.product_id = c.product_id WHERE eval_set = 'test' AND department = 'SMALL'
+      FROM f_scored c LEFT JOIN f_catalog p ON p.product_id = c.product_id WHERE eval_set = 'test' AND department = 'ASIA'
         AND NOT EXISTS (SELECT 1 FROM f_carts k WHERE k.cart_id = c.order_id AND k.product_id = c.product_id)) WHERE rank <= 10""",
 )
 def _(i: Inputs):
-    ranked = R.filtered_ranking(i.scored("test"), i.catalog(i.folded), i.carts(i.folded), department="SMALL")
+    ranked = R.filtered_ranking(i.scored("test"), i.catalog(i.folded), i.carts(i.folded), department="ASIA")
     return ranked.select("user_id", "order_id", "product_id", "score", "rank", "product_name", "department")
 
 
@@ -587,9 +586,9 @@ def _(i: Inputs):
 def _recalibrated(i: Inputs):
     """Platt scaling and isotonic regression of the classifier's probability."""
     scored = _classified(i, "train").select(*C.ID_COLUMNS, F.col("label").cast("double").alias("label"), "qda_p_score", "qda_logit")
-    platt = VectorAssembler(inputCols=["qda_logit"], outputCol="z").transform(scored)
-    fitted = LogisticRegression(featuresCol="z", labelCol="label", probabilityCol="_p", rawPredictionCol="_raw", predictionCol="_y").fit(platt)
-    both = fitted.transform(platt).withColumn("platt", vector_to_array("_p")[1]).drop("_p", "_raw", "_y", "z")
+    assembled = VectorAssembler(inputCols=["qda_logit"], outputCol="z").transform(scored)
+    fitted = LogisticRegression(featuresCol="z", labelCol="label").fit(assembled)
+    both = scored.withColumn("platt", 1 / (1 + F.exp(-(float(fitted.coefficients[0]) * F.col("qda_logit") + float(fitted.intercept)))))
     isotonic = B.with_isotonic(both, B.isotonic_blocks(both, "qda_p_score", "label"), "qda_p_score")
     return isotonic.select(*C.ID_COLUMNS, "platt", "isotonic")
 

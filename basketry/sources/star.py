@@ -1,8 +1,8 @@
 """Adapter: star-schema Parquet tables as basket tables.
 
-``orders``, ``lineitem`` and ``part`` become the order history the operators work on. Nothing is
-filtered: with ``n_products`` every part is folded onto one of that many products, so all lines and
-all parts stay in.
+``orders``, ``lineitem`` and ``part`` become the order history the operators work on. With ``by_supplier`` the products are
+suppliers, their aisles nations and their departments regions: there are far fewer of them than parts, so that users buy
+them again, and they grow with the data. Nothing is filtered.
 """
 
 from __future__ import annotations
@@ -34,17 +34,13 @@ class BasketTables:
 
     spark: SparkSession
     path: str
-    n_products: int | None = None
+    by_supplier: bool = False
     staged: bool = False
     kept: list[str] = field(default_factory=list)
 
     def _scan(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path.rstrip('/')}/{table}.parquet")
 
-    def _product(self, key: str) -> Column:
-        column = F.col(key).cast("bigint")
-        return column if self.n_products is None else F.pmod(column, F.lit(self.n_products)).cast("bigint")
-
     @cached_property
     def orders(self) -> DataFrame:
         orders = self._derived_orders()
@@ -112,7 +108,9 @@ class BasketTables:
         them in place; else by (order, product), which spreads large orders.
         """
         lines = self._scan("lineitem").select(
-            F.col("l_orderkey").cast("bigint").alias("order_id"), self._product("l_partkey").alias("product_id"), "l_linenumber"
+            F.col("l_orderkey").cast("bigint").alias("order_id"),
+            F.col("l_suppkey" if self.by_supplier else "l_partkey").cast("bigint").alias("product_id"),
+            "l_linenumber",
         )
         if self.largest_order <= GROUP_LIMIT:
             lines = lines.repartition("order_id")
@@ -173,18 +171,19 @@ class BasketTables:
 
     @cached_property
     def products(self) -> DataFrame:
-        """One row per product; a folded product takes its names from its part with the smallest key."""
-        part = self._scan("part").select(
-            F.col("p_partkey").cast("bigint").alias("key"),
-            self._product("p_partkey").alias("product_id"),
+        """One row per product."""
+        if self.by_supplier:
+            nations = self._scan("nation").select(F.col("n_nationkey").cast("bigint").alias("aisle_id"), F.col("n_regionkey").cast("bigint").alias("department_id"))
+            suppliers = self._scan("supplier").select(
+                F.col("s_suppkey").cast("bigint").alias("product_id"), F.col("s_name").alias("product_name"), F.col("s_nationkey").cast("bigint").alias("aisle_id")
+            )
+            return suppliers.join(nations, "aisle_id", "left").select("product_id", "product_name", "aisle_id", "department_id")
+        return self._scan("part").select(
+            F.col("p_partkey").cast("bigint").alias("product_id"),
             F.col("p_name").alias("product_name"),
             F.regexp_extract("p_brand", r"(\d+)", 1).cast("bigint").alias("aisle_id"),
             self._department("p_type").alias("department_id"),
         )
-        if self.n_products is None:
-            return part.drop("key")
-        first = part.groupBy("product_id").agg(F.min_by(F.struct("product_name", "aisle_id", "department_id"), "key").alias("first"))
-        return first.select("product_id", "first.*")
 
     @staticmethod
     def _department(column: str) -> Column:
@@ -195,6 +194,8 @@ class BasketTables:
 
     @cached_property
     def aisles(self) -> DataFrame:
+        if self.by_supplier:
+            return self._scan("nation").select(F.col("n_nationkey").cast("bigint").alias("aisle_id"), F.col("n_name").alias("aisle"))
         return (
             self._scan("part")
             .select(F.regexp_extract("p_brand", r"(\d+)", 1).cast("bigint").alias("aisle_id"), F.col("p_brand").alias("aisle"))
@@ -203,6 +204,8 @@ class BasketTables:
 
     @cached_property
     def departments(self) -> DataFrame:
+        if self.by_supplier:
+            return self._scan("region").select(F.col("r_regionkey").cast("bigint").alias("department_id"), F.col("r_name").alias("department"))
         return self._scan("part").select(self._department("p_type").alias("department_id"), F.col("p_type").alias("department")).distinct()
 
     def as_dict(self) -> dict[str, DataFrame]:
@@ -217,5 +220,5 @@ class BasketTables:
         }
 
 
-def load_star(spark: SparkSession, path: str, n_products: int | None = None, staged: bool = False, kept: list[str] | None = None) -> BasketTables:
-    return BasketTables(spark, path, n_products, staged, [] if kept is None else kept)
+def load_star(spark: SparkSession, path: str, by_supplier: bool = False, staged: bool = False, kept: list[str] | None = None) -> BasketTables:
+    return BasketTables(spark, path, by_supplier, staged, [] if kept is None else kept)

@@ -50,7 +50,7 @@ def skewed(data, tmp_path_factory):
     con.execute("UPDATE orders SET o_custkey = 7 WHERE o_orderkey % 3 = 0")
     # A prior order of the busy user takes every third line, with line numbers that run on.
     con.execute("UPDATE lineitem SET l_orderkey = 300, l_linenumber = l_suppkey * 40 + l_partkey WHERE l_partkey % 3 = 0")
-    for t in ("orders", "lineitem", "part", "customer"):
+    for t in ("orders", "lineitem", "part", "customer", "supplier", "nation", "region"):
         con.execute(f"COPY {t} TO '{folder}/{t}.parquet' (FORMAT parquet)")
     return str(folder)
 
