@@ -9,8 +9,7 @@ A document's set holds the hashes of its distinct five-word shingles. Sets link
   the estimate of J takes the chance collisions out. Pairs estimated below ``FLOOR`` are dropped; for sets that link the chance of that
   is 5e-10.
 * Equal sets are one node from the start, so copies cost one signature each and nothing more.
-* In a band every set is a candidate with the first one of its key. A set is compared with its most similar first set, then with the others
-  it is not yet connected with.
+* In a band every set is compared with the first one of its key.
 * Members of a key that are still in different components: a shingle that no other of all these sets holds is in no intersection. Sets
   with too many own shingles for any link are done. The rest are compared with the member of their key that has the smallest share of own
   shingles, as a text from which the others were made has. Those not linked with that centre are compared by their differences from it:
@@ -229,11 +228,7 @@ def clusters(docs: DataFrame, kept: Buckets) -> tuple[DataFrame, DataFrame, Data
         links.groups = sets.select(F.col("name").alias("node"), F.col("name").alias("component")).limit(0)
     else:
         links.need(ends(pairs))
-        links.add(pairs.groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a")))
-        rest = links.labelled(links.labelled(pairs, "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b")
-        rest = materialize(rest, "bbit-rest")
-        if not rest.isEmpty():
-            links.add(rest)
+        links.add(pairs)
 
     apart = still_apart(runs.where("several").select("run", "name"), links)
     if not apart.isEmpty():
@@ -241,15 +236,12 @@ def clusters(docs: DataFrame, kept: Buckets) -> tuple[DataFrame, DataFrame, Data
         own = own_shingles(apart.select("name").distinct(), links.items)
         # What no set of these can share with enough of a set leaves it without links.
         open_sets = materialize(sets.select("name", "n", "signature").join(own, "name").where((100 * (F.col("n") - F.col("u")) >= PERCENT * F.col("n"))), "bbit-open")
-        apart = still_apart(apart.select("run", "name").join(open_sets.select("name"), "name"), links)
-        for choose in (with_centre, by_difference):
-            if apart.isEmpty():
-                break
-            tried = choose(apart, open_sets, links.items).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-            tried = materialize(with_signatures(tried, open_sets).where(may_link()).select("a", "b"), "bbit-tried")
-            if not tried.isEmpty():
-                links.add(tried)
-                apart = still_apart(apart.select("run", "name"), links)
+        members = materialize(with_centres(apart, open_sets), "bbit-members")
+        tried = with_centre(members).unionByName(by_difference(members, links.items))
+        tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        tried = materialize(with_signatures(tried, open_sets).where(may_link()).select("a", "b"), "bbit-tried")
+        if not tried.isEmpty():
+            links.add(tried)
     named = found.where("n > 0").select("t1", "t2", "n", "digest").join(sets.select("digest", "name"), "digest").drop("digest")
     return rows, named, links.groups
 
@@ -273,25 +265,25 @@ def own_shingles(wanted: DataFrame, items: DataFrame) -> DataFrame:
     return wanted.join(counts, "name", "left").select("name", F.coalesce("u", F.lit(0)).alias("u"))
 
 
-def centres(apart: DataFrame, sets: DataFrame) -> DataFrame:
-    """``(run, centre, centre_component)``: the member of each run with the smallest share of own shingles."""
-    share = F.struct((F.col("u") / F.col("n")).alias("share"), "name", "component")
-    best = apart.join(sets.select("name", "n", "u"), "name").groupBy("run").agg(F.min(share).alias("m"))
-    return best.select("run", F.col("m.name").alias("centre"), F.col("m.component").alias("centre_component"))
+def with_centres(apart: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(centre, centre_component, name, component)``: each set of ``sets`` with the member of its runs that has the smallest share of own
+    shingles."""
+    held = apart.join(sets.select("name", "n", "u"), "name")
+    best = held.groupBy("run").agg(F.min(F.struct((F.col("u") / F.col("n")).alias("share"), "name", "component")).alias("m"))
+    best = best.select("run", F.col("m.name").alias("centre"), F.col("m.component").alias("centre_component"))
+    return held.join(best, "run").select("centre", "centre_component", "name", "component").distinct()
 
 
-def with_centre(apart: DataFrame, sets: DataFrame, items: DataFrame) -> DataFrame:
-    """Each member with the centre of its run."""
-    found = apart.join(centres(apart, sets), "run").where(F.col("component") != F.col("centre_component"))
-    return found.select(F.col("centre").alias("a"), F.col("name").alias("b"))
+def with_centre(members: DataFrame) -> DataFrame:
+    """Each member with its centre."""
+    return members.where(F.col("component") != F.col("centre_component")).select(F.col("centre").alias("a"), F.col("name").alias("b"))
 
 
-def by_difference(apart: DataFrame, sets: DataFrame, items: DataFrame) -> DataFrame:
-    """Pairs of different components that may link, from what members differ in from the centre of their run. Pairs of which both link
-    with the centre are in one component; so one of them, ``a``, does not."""
+def by_difference(members: DataFrame, items: DataFrame) -> DataFrame:
+    """Pairs of different components that may link, from what members differ in from their centre. Pairs of which both link with the centre
+    are in one component through it; so one of them, ``a``, does not."""
     near, far = 100 - PERCENT, 100 + PERCENT  # sets link when far * |x ^ y| <= near * (|x| + |y|)
     centre = items.select(F.col("name").alias("centre"), F.col("items").alias("ic"))
-    members = apart.join(centres(apart, sets), "run").select("centre", "name", "component").distinct()
     both = members.join(items, "name").join(centre, "centre")
     differing = F.concat(F.array_except("items", "ic"), F.array_except("ic", "items"))
     held = both.select("centre", "name", "component", F.size("items").alias("n"), F.size("ic").alias("nc"), differing.alias("differ"))
