@@ -535,10 +535,21 @@ def _(i: Inputs):
     return K.gain_importance(_ranker(i), i.spark)
 
 
+# Rows that are explained and background rows, as in the surveyed evaluation.
+EXPLAINED, EXPLAINED_BY_CLASSIFIER, BACKGROUND = 5000, 100, 100
+
+
+def _validation(i: Inputs):
+    """The training candidates of users that the ranker did not see."""
+    return Q.user_split(_classified(i, "train"), _RANKER.valid_percent, _RANKER.seed).where("is_valid").drop("is_valid")
+
+
+@lru_cache(maxsize=4)
 def _explain(i: Inputs):
     ranker = _ranker(i)
-    rows = Q.seeded_sample(_classified(i, "train"), 100, C.ID_COLUMNS)
-    return A.sampled_attributions(rows, _classified(i, "train"), ranker.features, C.ID_COLUMNS, ranker.score, permutations=4, n_background=50)
+    rows = Q.seeded_sample(_validation(i), EXPLAINED, C.ID_COLUMNS)
+    found = A.sampled_attributions(rows, _classified(i, "train"), ranker.features, C.ID_COLUMNS, ranker.score, permutations=4, n_background=BACKGROUND)
+    return i.keep(found, "attributions")
 
 
 @query("k07_attributions")
@@ -554,7 +565,7 @@ def _(i: Inputs):
 @query("k07_classifier_attributions")
 def _(i: Inputs):
     fit, _ = _classifier(i)
-    rows = Q.seeded_sample(_classified(i, "train"), 50, C.ID_COLUMNS, seed=7)
+    rows = Q.seeded_sample(_validation(i), EXPLAINED_BY_CLASSIFIER, C.ID_COLUMNS, seed=7)
     chosen = A.explained_rows(rows.withColumnRenamed("qda_p_score", "score"), C.ID_COLUMNS)
     scored = A.sampled_attributions(
         chosen,
@@ -563,7 +574,7 @@ def _(i: Inputs):
         C.ID_COLUMNS,
         lambda df: D.with_log_odds(fit.preprocessing.apply(df), fit.model, fit.reg, out="score"),
         permutations=4,
-        n_background=50,
+        n_background=BACKGROUND,
     )
     return scored.join(chosen.select(*C.ID_COLUMNS, "kind"), C.ID_COLUMNS)
 

@@ -140,7 +140,8 @@ def test_ranker_beats_random_order(spark, table, ranker):
     ours = M.metric_means(M.ranking_metrics(ranker.score(valid))).first().ndcg_5
     random = M.metric_means(M.ranking_metrics(valid.withColumn("score", F.pmod(F.xxhash64(*IDS), F.lit(1000)) / 1000.0))).first().ndcg_5
     assert ours > random
-    assert ours == pytest.approx(max(e["valid_ndcg_5"] for e in ranker.log))
+    # The best round is that of the metric that stalled first; the kept trees are those up to it.
+    assert ours == pytest.approx(ranker.log[ranker.best_round - 1]["valid_ndcg_5"])
 
 
 def test_ranker_round_trip(spark, table, ranker):
