@@ -72,12 +72,12 @@ class Paragraphs:
     def keys(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Band keys of the paragraphs ``rows``, and the paragraph of each."""
         items, starts = self.sets.items, self.sets.starts
-        least = [np.minimum.reduceat(mixed(items + np.uint64(0x1F123BB5 * (k + 1))), starts)[rows] for k in range(BANDS * ROWS)] if len(rows) else []
         keys = []
         for band in range(BANDS if len(rows) else 0):
             key = np.full(len(rows), band + 1, np.uint64)
-            for k in range(ROWS):
-                key = mixed(key * np.uint64(0x2545F491) + least[band * ROWS + k])
+            for k in range(band * ROWS, (band + 1) * ROWS):
+                least = np.minimum.reduceat(mixed(items + np.uint64(0x1F123BB5 * (k + 1))), starts)[rows]
+                key = mixed(key * np.uint64(0x2545F491) + least)
             keys.append(key)
         return (np.concatenate(keys), np.tile(rows, BANDS)) if keys else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
@@ -154,9 +154,8 @@ def repeated(docs: DataFrame) -> DataFrame:
     place = each.join(wanted, "name").groupBy("name").agg(F.min("row").alias("row")).select("row").distinct()
     given = paragraph_texts(texts.join(place, "row", "left_semi"))
     given = materialize(given.join(wanted, "name", "left_semi").groupBy("name").agg(F.first("text").alias("text")), "paragraph-texts")
-    chars = given.agg(F.sum(F.length("text"))).first()[0] or 0
     sketches = materialize(sketched(given), "paragraph-sketches")
-    checked = lambda pairs: verified(materialize(plausible(pairs, sketches), "paragraph-plausible"), given, chars)
+    checked = lambda pairs: verified(materialize(plausible(pairs, sketches), "paragraph-plausible"), given)
     members = runs.where("run >= 0").select("run", F.col("member").alias("name"))
     groups = settled(members, materialize(checked(pairs), "paragraph-links"), checked, lambda apart: undecided(apart, sketches))
 

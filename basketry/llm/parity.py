@@ -39,13 +39,13 @@ from basketry.session import materialize
 
 WIDTH = 5
 NUM, DEN = 3, 4  # links: |A & B| / |A | B| >= NUM / DEN
-PORTION = 2_000_000  # bytes of text looked at together
+PORTION = 1_000_000  # bytes of text looked at together
 PART_KEYS = 500_000
 KEYS_PER_WORD = 0.8
 LEAST_BLOCKS = 48  # of all sketches of a band together
-HELD_KEYS = 1_500_000  # keys a task holds before it reduces runs to their first members
-VERIFY_CHARS = 4_000_000
-CHUNK = 256  # pairs of one text that are verified in one group
+HELD_KEYS = 1_000_000  # keys a task holds before it reduces runs to their first members
+VERIFY_CHARS = 1_500_000  # characters of a group that verifies pairs, every copy of a text counted
+CHUNK_CHARS = 250_000  # characters of the partners of one text that are verified in one group
 SKETCH_WORDS = 16
 DRAWS = 1
 
@@ -255,11 +255,17 @@ def may_link():
     return sizes & (distance * (DEN + NUM) <= (F.col("na") + F.col("nb")) * (DEN - NUM))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, chars: int) -> DataFrame:
-    """The pairs ``(a, b)`` of set names that link; ``texts`` has ``(name, text)``, ``chars`` all their characters."""
-    groups = max(1, -(-4 * chars // VERIFY_CHARS))
-    counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
-    dealt = pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("a", F.pmod(F.xxhash64("b"), "chunks")), F.lit(groups)).cast("int").alias("bucket"))
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)`` of set names that link; ``texts`` has ``(name, text)``. The partners of a text are cut into chunks, and
+    the number of groups follows from the copies that the chunks need, not from the texts."""
+    lengths = texts.select("name", F.length("text").cast("long").alias("n"))
+    long = pairs.join(lengths.withColumnRenamed("name", "b"), "b")
+    counts = long.groupBy("a").agg(F.sum("n").alias("partners"))
+    counts = counts.join(lengths.withColumnRenamed("name", "a"), "a").select("a", "n", "partners", F.ceil(F.col("partners") / CHUNK_CHARS).cast("long").alias("chunks"))
+    counts = materialize(counts.withColumn("chunks", F.greatest("chunks", F.lit(1))), "parity-chunks")
+    copied = counts.agg(F.sum(F.col("partners") + F.col("n") * F.col("chunks"))).first()[0] or 0
+    groups = max(1, -(-copied // VERIFY_CHARS))
+    dealt = pairs.join(counts.select("a", "chunks"), "a").select("a", "b", F.pmod(F.xxhash64("a", F.pmod(F.xxhash64("b"), "chunks")), F.lit(groups)).alias("bucket"))
     dealt = materialize(dealt, "parity-pairs")
     wanted = dealt.select(F.col("bucket").alias("place"), F.explode(F.array("a", "b")).alias("name")).distinct()
 
@@ -293,7 +299,7 @@ def clusters(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         place = named.join(wanted, "name").groupBy("name").agg(F.min("row").alias("row"))
         found = texts.join(place.select("row").distinct(), "row", "left_semi").select("row", "text").groupBy("row").agg(F.first("text").alias("text"))
         shared = materialize(found.join(place, "row").select("name", "text"), "parity-texts")
-        return verified(pairs, shared, shared.agg(F.sum(F.length("text"))).first()[0] or 0)
+        return verified(pairs, shared)
 
     links = materialize(checked(runs.select(F.col("lead").alias("a"), F.col("member").alias("b")).distinct()), "parity-links")
     groups = components(links)
