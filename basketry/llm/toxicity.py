@@ -110,6 +110,8 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
     drawn = [F.xxhash64("doc_id"), F.col("doc_id")]
     toxic = training.where("toxic = 1").join(ids, "doc_id", "left_semi").orderBy(*drawn).limit(positives)
     others = ids.where(~held_out(F.col("doc_id"))).join(known, "doc_id", "left_anti").orderBy(*drawn).limit(unlabelled)
+    if others.isEmpty():  # every row has a label: the same rows without their labels, toxic ones among them, are the unlabelled ones
+        others = training.select("doc_id").join(ids, "doc_id", "left_semi").orderBy(*drawn).limit(unlabelled)
     sample = toxic.select("doc_id", F.lit(True).alias("toxic")).unionByName(others.select("doc_id", F.lit(False).alias("toxic")))
     # At most positives + unlabelled rows of 9 bytes: small enough to broadcast at any size of the corpus.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id").select("toxic", "text")

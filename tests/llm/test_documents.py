@@ -169,7 +169,6 @@ def test_sketch_distance_is_a_lower_bound():
 
 
 def test_line_dedup(hard):
-    assert lines.BLOCKS == lines.BITS + 2
     got = lines.dedup_lines(hard)
     assert got.columns == [*hard.columns, "n_lines", "n_dropped"]
     by_id = {r.doc_id: r for r in got.collect() if r.doc_id is not None}
@@ -378,5 +377,8 @@ def test_toxicity(spark, data, hard):
     found = toxicity.score(docs, model).toPandas()
     assert ((found.score >= 0.3) == (found.doc_id % 3 == 0)).all()
     assert toxicity.score(hard, model).where("score IS NULL OR score < 0 OR score > 1").count() == 0
+    every = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(400)], "doc_id long, toxic int")
+    found = toxicity.score(docs, toxicity.fit(docs, every)).toPandas()
+    assert ((found.score >= 0.3) == (found.doc_id % 3 == 0)).all()
     none = toxicity.fit(docs, labels.where("toxic = 0"))
     assert {round(r.score, 6) for r in toxicity.score(hard, none).collect()} == {0.0}
