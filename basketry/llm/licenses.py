@@ -9,8 +9,8 @@ exact and follows the usual filters:
 * prefix filter: with ``n`` template words of which ``need = ceil(containment * n)`` must occur, a matching block holds
   one of the ``n - need + 1`` rarest, so only blocks with such a word are looked at further;
 * length filter: a matching block has at least ``need`` distinct words;
-* positional filter: if the first shared word stands at place ``p`` of the template's order, at most ``n - p`` words can
-  be shared, so ``n - p >= need`` must hold;
+* positional filter: if the first shared word stands at place ``p`` of the template's ``n`` words and at place ``q`` of the block's ``m`` words,
+  both in global order and counted from 0, at most ``min(n - p, m - q)`` words are shared, which must reach ``need``;
 * the remaining pairs are verified by counting shared words.
 
 Templates are a parameter of bounded size; they travel as literals. Every text is read where it is stored, and nothing
@@ -49,6 +49,7 @@ TEMPLATES = {
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+SIGNS = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GAP = "  "  # between words of a normalised text; every word has a blank of its own on either side
 
@@ -98,29 +99,29 @@ def base_places(text: Column, phrases: dict[str, str]) -> dict[str, Column]:
     return {"n_base": total, "first_word": least, "last_word": most, "base": F.array_compact(F.array(*labels))}
 
 
-def word_frequencies(lines: DataFrame, words: list[str]) -> dict[str, int]:
-    """Blocks of the corpus that hold each of the given words; one pass, one row."""
-    counts = [F.count_if(F.contains(F.col("line"), F.lit(f" {w} "))).alias(f"w{k}") for k, w in enumerate(words)]
-    row = lines.agg(*counts).first()
-    return {w: row[k] or 0 for k, w in enumerate(words)}
+def word_frequencies(docs: DataFrame, text_col: str, words: list[str]) -> dict[str, int]:
+    """Occurrences of each of the given words in the corpus: texts are split once, and a row for each word comes back."""
+    plain = F.translate(F.col(text_col).cast("string"), UPPER + SIGNS, LOWER + " " * len(SIGNS))
+    found = docs.select(F.explode(F.split(plain, " ")).alias("word")).where(F.col("word").isin(words))
+    counts = dict(found.groupBy("word").count().collect())  # as many rows as the templates have words, at most
+    return {w: counts.get(w, 0) for w in words}
 
 
-def blocks(docs: DataFrame, text_col: str) -> DataFrame:
-    """The lines of every text, normalised."""
-    return docs.select(F.explode(F.split(F.col(text_col).cast("string"), "\n")).alias("raw")).select(normalised(F.col("raw")).alias("line"))
+def held_words(line: Column, order: list[str]) -> Column:
+    """The words of a normalised block that any template knows, in the given order."""
+    return F.array_intersect(F.array(*map(F.lit, order)), F.split(F.trim(line), GAP))
 
 
 def template_share(words: Column, template: list[str], need: int) -> Column:
-    """Share of the template's words that a block holds, or null if it is below the threshold. ``template`` is in
-    global order, rarest word first; ``words`` are the block's distinct words of any template, ``n_distinct`` at least
-    as many as they are."""
+    """Share of the template's words that a block holds, or null if it is below the threshold. ``template`` is in global order, rarest
+    word first, and so are ``words``, the block's distinct words of any template."""
     n = len(template)
-    rare = template[: n - need + 1]
-    # Place of the first shared word of the order, 0-based; the filters look no further than the prefix.
-    first = F.coalesce(*[F.when(F.array_contains(words, w), F.lit(p)) for p, w in enumerate(rare)])
+    # The first shared word of the order, at place p of the template and q of the block: what both have from there on bounds the
+    # words that they share. A word that the block lacks is at place 0 there.
+    at = lambda w: F.array_position(words, w)
+    bound = F.coalesce(*[F.when(at(w) > 0, F.least(F.lit(n - p), F.size(words) - at(w) + 1)) for p, w in enumerate(template[: n - need + 1])])
     shared = F.size(F.array_intersect(words, F.array(*map(F.lit, template))))
-    passes = (F.size(words) >= need) & (n - first >= need)
-    return F.when(passes & (shared >= need), shared / F.lit(float(n)))
+    return F.when((F.size(words) >= need) & (bound >= need), F.when(shared >= need, shared / F.lit(float(n))))
 
 
 def scan(
@@ -133,17 +134,13 @@ def scan(
     """Add to every row ``n_words``, the base places, ``base_labels``, ``labels`` (base and joined) and ``score``."""
     sets = {label: sorted(set(words.split())) for label, words in templates.items()}
     every = sorted(set().union(*sets.values()))
-    frequency = word_frequencies(blocks(docs, text_col), every)
+    frequency = word_frequencies(docs, text_col, every)
     order = sorted(every, key=lambda w: (frequency[w], w))
     place = {w: k for k, w in enumerate(order)}
     ordered = {label: sorted(words, key=place.__getitem__) for label, words in sets.items()}
     need = {label: math.ceil(containment * len(words) - 1e-9) for label, words in ordered.items()}
     prefixes = sorted({w for label, words in ordered.items() for w in words[: len(words) - need[label] + 1]}, key=place.__getitem__)
 
-    def held(line: Column) -> Column:
-        """The words of a block that any template knows, from one split of the block."""
-        return F.array_intersect(F.split(F.trim(line), GAP), F.array(*map(F.lit, order)))
-
     # Candidates by the prefix filter: a line is split only if it holds a rare word of a template.
     has_rare = F.lit(False)
     for w in prefixes:
@@ -151,7 +148,7 @@ def scan(
     norm = normalised(F.col(text_col))
     lines = F.when(F.col("may"), F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "\n"))
     kept = F.filter(
-        F.transform(lines, lambda x: held(normalised(x))),
+        F.transform(lines, lambda x: held_words(normalised(x), order)),
         lambda words: F.size(words) >= min(need.values()),
     )
     shares = F.transform(kept, lambda words: F.struct(*[template_share(words, t, need[k]).alias(f"t{i}") for i, (k, t) in enumerate(ordered.items())]))
