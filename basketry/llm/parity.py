@@ -17,7 +17,8 @@ A document's set holds the hashes of its distinct five-word shingles. Sets ``A``
   different components of a run are compared with a member of its largest component drawn anew; what still is
   apart is compared with all of the run, as far as sizes and the Hamming distance of 1024-bit sketches allow a link. So
   a large group of near copies costs a few comparisons a member, and no pair that shares a key is left undecided.
-* Pairs are verified exactly on the shingles of the whole texts, in groups dealt by hash.
+* Pairs are verified exactly on the shingles of the whole texts, in groups dealt by hash. Of the pairs of a step one for each member
+  is verified first, and of the others those whose ends are still in different components; only components are asked for.
 
 Set names and shingles are 64-bit hashes. Defined results: null, empty and blank texts have an empty set and are alone;
 with fewer than five words the whole sequence is one shingle; rows with a null id take part, but a component is named
@@ -26,7 +27,7 @@ by its smallest id that is not null (null if there is none); repeated rows are l
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -283,6 +284,25 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return dealt.groupBy("bucket").cogroup(wanted.join(texts, "name").groupBy("place")).applyInPandas(run, "a long, b long")
 
 
+def connected(pairs: DataFrame, links: DataFrame, groups: DataFrame, checked: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """``links`` and components once no pair ``(a, b)`` that links has its ends in two components.
+
+    First one pair for each component of a ``b``, then the pairs whose ends are still apart: within a group of near copies nearly
+    all pairs are between members that the first step has joined, and their texts need not move.
+    """
+    pairs = materialize(pairs.distinct(), "parity-candidates")
+    for first in (True, False):
+        of = groups.withColumnRenamed("component", "c")
+        sides = pairs.join(of.selectExpr("node AS a", "c AS ca"), "a", "left").join(of.selectExpr("node AS b", "c AS cb"), "b", "left")
+        apart = sides.select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")).where("ca <> cb")
+        if first:
+            apart = apart.groupBy("cb").agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b")
+        tried = apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        links = materialize(links.unionByName(checked(materialize(tried, "parity-tried"))).distinct(), "parity-links")
+        groups = components(links)
+    return links, groups
+
+
 def clusters(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(row, doc_id, n, name)`` of all rows and ``(node, component)`` of the set names that link with another."""
     texts = texts_of(docs)
@@ -301,8 +321,8 @@ def clusters(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         shared = materialize(found.join(place, "row").select("name", "text"), "parity-texts")
         return verified(pairs, shared)
 
-    links = materialize(checked(runs.select(F.col("lead").alias("a"), F.col("member").alias("b")).distinct()), "parity-links")
-    groups = components(links)
+    none = named.sparkSession.createDataFrame([], "a long, b long")
+    links, groups = connected(runs.select(F.col("lead").alias("a"), F.col("member").alias("b")), none, none.selectExpr("a AS node", "b AS component"), checked)
     members = runs.where("run >= 0").select("run", F.col("member").alias("name"))
     for draw in range(DRAWS + 1):
         # Runs with members, other than the first, of several components.
@@ -320,9 +340,7 @@ def clusters(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             tried = apart.join(largest, "run").where(F.col("component") != F.col("largest")).select("a", F.col("name").alias("b"))
         else:
             tried = undecided(apart, sketches)
-        pairs = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = materialize(links.unionByName(checked(pairs)).distinct(), "parity-links")
-        groups = components(links)
+        links, groups = connected(tried, links, groups, checked)
     return named.drop("sketch"), groups
 
 
