@@ -302,3 +302,24 @@ def test_isotonic_equals_brute_force(spark, kind):
     assert blocks.count() == n_blocks <= 3 * 3000 ** (2 / 3)
     got = {r["p"]: r["v"] for r in B.with_isotonic(df.where("p IS NOT NULL AND y IS NOT NULL"), blocks, "p", "v").collect()}
     assert got == pytest.approx(want)
+
+def test_medians_and_moments_of_odd_columns(spark):
+    rng = np.random.default_rng(4)
+    wide = rng.normal(0, 1, 501) * 10.0 ** rng.integers(-300, 300, 501)
+    rows = pd.DataFrame({"wide": wide, "even": np.r_[wide[:500], 7.0], "zeros": np.where(rng.random(501) < 0.5, -0.0, 0.0), "far": 1e9 + rng.random(501)})
+    table = spark.createDataFrame(rows).repartition(4).withColumns({"even": F.when(F.col("even") != 7.0, F.col("even")), "none": F.lit(None).cast("double"), "same": F.lit(0.1)})
+    got = {r.column_name: r.median for r in Q.medians(table, table.columns).collect()}
+    assert got == {"wide": np.median(wide), "even": pytest.approx(np.median(wide[:500])), "zeros": 0.0, "far": np.median(rows.far), "same": 0.1}
+    spread = {r.column_name: r for r in Q.scales(table, ["far", "none", "same"]).collect()}
+    assert spread["far"]["std"] == pytest.approx(rows.far.std(ddof=0), rel=1e-6) and spread["far"]["mean"] == pytest.approx(rows.far.mean())
+    assert spread["none"]["mean"] is None and spread["none"]["scale"] == 1.0
+    assert spread["same"]["mean"] == 0.1 and spread["same"]["std"] == 0.0
+    assert Q.skewed_columns(table, ["same"]).first().skew is None
+
+
+def test_moments_and_medians_move_no_cells(spark):
+    """A statistic per batch or count per digit leaves the tasks, not a row per value."""
+    table = spark.range(0, 4000, 1, 2).select((F.col("id") % 1000).cast("double").alias("a"), F.rand(3).alias("b"))
+    plan = Q.skewed_columns(table, ["a", "b"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Expand" not in plan
+    assert len(Q.digit_counts(table, {"a": {0}, "b": {0}}, 0)) < 1000
