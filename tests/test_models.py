@@ -303,6 +303,27 @@ def test_isotonic_equals_brute_force(spark, kind):
     got = {r["p"]: r["v"] for r in B.with_isotonic(df.where("p IS NOT NULL AND y IS NOT NULL"), blocks, "p", "v").collect()}
     assert got == pytest.approx(want)
 
+def brute_auc(score, y):
+    s, pos, neg = np.round(score, 9), y == 1, y == 0
+    return ((s[pos, None] > s[None, neg]).sum() + 0.5 * (s[pos, None] == s[None, neg]).sum()) / (pos.sum() * neg.sum())
+
+
+def test_cross_validated_auc_equals_all_pairs(spark, monkeypatch):
+    """Packed slices, with ties inside a slice and a task that packs several times."""
+    monkeypatch.setattr(D, "PACKED", 100)
+    rng = np.random.default_rng(3)
+    n = 900
+    y, fold, x = rng.integers(0, 2, n), rng.integers(0, 3, n), rng.normal(0, 1, (n, 2)).round(1)
+    x[y == 1] *= 2
+    stats = {(f, k): D.ClassStats(int(m.sum()), x[m].sum(0), x[m].T @ x[m]) for f in range(3) for k in (0, 1) for m in [(fold == f) & (y == k)]}
+    _, models = D.fold_models(stats, range(3))
+    rows = spark.createDataFrame(pd.DataFrame({"fold": fold, "label": y, "x": list(x.tolist())})).repartition(3)
+    got = {r.reg: r.cv_auc for r in D.cross_validated_auc(rows, models, [0.1, 0.3]).collect()}
+    for reg in (0.1, 0.3):
+        want = np.mean([brute_auc(models[f].log_odds(x[fold == f], reg), y[fold == f]) for f in range(3)])
+        assert got[reg] == pytest.approx(want, abs=1e-12)
+
+
 def test_medians_and_moments_of_odd_columns(spark):
     rng = np.random.default_rng(4)
     wide = rng.normal(0, 1, 501) * 10.0 ** rng.integers(-300, 300, 501)
