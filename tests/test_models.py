@@ -344,3 +344,15 @@ def test_moments_and_medians_move_no_cells(spark):
     plan = Q.skewed_columns(table, ["a", "b"])._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan and "Expand" not in plan
     assert len(Q.digit_counts(table, {"a": {0}, "b": {0}}, 0)) < 1000
+
+
+def test_factor_fit_drops_the_shuffles_of_past_iterations(spark):
+    """The files of the user factors, the larger side, go with each iteration, so disk does not grow with their number."""
+    pairs = spark.range(200).select((F.col("id") % 20).cast("int").alias("user_id"), (F.col("id") % 7).cast("int").alias("product_id"), F.lit(1.0).alias("count")).distinct()
+    tracker = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    kept = {}
+    for params in (L.FactorParams(rank=2, iterations=9, blocks=2), L.FactorParams(rank=2, iterations=9, blocks=2, checkpoint_every=10)):
+        before = tracker.shuffleStatuses().size()
+        L.fit_factors(pairs, params)
+        kept[params.checkpoint_every] = tracker.shuffleStatuses().size() - before
+    assert kept[1] <= kept[10] - 7
