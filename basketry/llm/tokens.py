@@ -41,6 +41,9 @@ class WordTokenizer:
             told = json.load(file)
         vocab, merges = told["model"]["vocab"], [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in told["model"]["merges"]]
         self.split = regex.compile(told["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        # Whether a run of letters, of all that ``PLAIN`` holds, is one word, so that it need not be split.
+        letters = "".join(filter(PLAIN.fullmatch, map(chr, range(592)))).lower()
+        self.letters_are_words = all(self.split(c + letter + c) == [c + letter + c] for c in "az" for letter in letters if letter.isalpha())
         suffix = told["model"]["end_of_word_suffix"]
         # The printable letter that stands for each byte: itself, or the next one from U+0100 on.
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
@@ -106,11 +109,15 @@ class WordTokenizer:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, runs: list[str]) -> None:
-        plain = [r for r in runs if PLAIN.fullmatch(r)]
+        alone, plain, rest = [], [], []
+        is_plain = PLAIN.fullmatch
+        for run in runs:
+            (rest if not is_plain(run) else alone if run.isalpha() and self.letters_are_words else plain).append(run)
+        single = [r.lower() for r in alone]
         parts = [self.split(r.lower()) for r in plain]
         by_size: dict[int, list[str]] = {}
         other = []
-        for word in set().union(*parts).difference(self.words) if parts else ():
+        for word in set(single).union(*parts).difference(self.words):
             size = len(word.encode())
             if size > WORD_BYTES:
                 other.append(word)
@@ -123,10 +130,10 @@ class WordTokenizer:
                 self.words.update(zip(part, self._merge([w.encode() for w in part]), strict=True))
         self.words.update(zip(other, self._tokenized(other), strict=True))
         known = self.words.__getitem__
+        self.memo.update(zip(alone, map(known, single), strict=True))
         self.memo.update((run, b"".join(map(known, words))) for run, words in zip(plain, parts, strict=True))
         for word in other:
             del self.words[word]
-        rest = [r for r in runs if not PLAIN.fullmatch(r)]
         self.memo.update(zip(rest, self._tokenized(rest), strict=True))
 
     @staticmethod

@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 
 from basketry.llm import bpe, context_tree, licenses, lines, packing, paragraphs, parity, toxicity
 from basketry.llm.components import settled
+from basketry.llm.tokens import WordTokenizer
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -382,3 +383,13 @@ def test_toxicity(spark, data, hard):
     assert ((found.score >= 0.3) == (found.doc_id % 3 == 0)).all()
     none = toxicity.fit(docs, labels.where("toxic = 0"))
     assert {round(r.score, 6) for r in toxicity.score(hard, none).collect()} == {0.0}
+
+
+def test_runs_of_letters_are_words_without_a_split():
+    """Letters alone are looked up as they stand; ids are those of the tokenizer."""
+    tokenizer = WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    split, seen = tokenizer.split, []
+    tokenizer.split = lambda run: seen.append(run) or split(run)
+    texts = ["Plain words, éa ßtraße ŉn ªb Ⱥx don't x9 naïve 12 ǅ", "I'LL i'll we've ºc ʼn ABC"]
+    assert tokenizer.encode(texts) == tokenizer._tokenized(texts)
+    assert "plain" not in seen and "naïve" not in seen and "don't" in seen and "x9" in seen
