@@ -6,6 +6,7 @@ import duckdb
 import pytest
 from check import difference
 
+from basketry import session
 from basketry.functions import positions
 from basketry.functions.scalars import parse_id_list
 from basketry.operators.explore import basket_summary
@@ -113,3 +114,46 @@ def test_bucketed_join_has_no_exchange(spark, data):
         assert joined.count() > 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_small_users_and_orders_travel_once(spark, folder):
+    """The orders of a user are shuffled once, and lines reach the user's task packed by order."""
+    tables = star.load_star(spark, folder)
+    assert exchanges(tables.orders) == 1
+    plan = tables._derived_facts()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("RepartitionByExpression [user_id") > plan.index("Generate posexplode")
+
+
+@pytest.mark.parametrize("limit", [star.GROUP_LIMIT, 0])
+def test_repeated_orders_repeat_their_lines(spark, tmp_path, monkeypatch, limit):
+    """Packed or not, a line comes once per row of its order; the largest order counts its products."""
+    monkeypatch.setattr(star, "GROUP_LIMIT", limit)
+    monkeypatch.setattr(positions, "GROUP_LIMIT", limit)
+    write(spark, tmp_path, [*ORDERS, ORDERS[0]], [*LINES, LINES[0], (2, 9, 3, None)])
+    tables = star.load_star(spark, str(tmp_path), staged=True)
+    got = sorted(tuple(r) for r in tables.line_facts.where("order_id < 3").select("order_id", "product_id", "add_to_cart_order").collect())
+    assert got == [(1, 1, 1), (1, 1, 1), (1, 2, 2), (1, 2, 2), (2, 1, 2), (2, 9, 1)]
+    assert tables.largest_order >= 2
+
+
+def test_no_lines_at_all(spark, tmp_path):
+    write(spark, tmp_path, ORDERS, [])
+    tables = star.load_star(spark, str(tmp_path), staged=True)
+    assert tables.line_facts.count() == 0 and tables.largest_order == 0
+
+
+def test_partitions_grow_with_the_sources(spark):
+    keys = (session.INITIAL_KEY, session.MERGED_KEY)
+    old = [spark.conf.get(k, None) for k in keys]
+    try:
+        session.scale_shuffles(spark, 0)
+        assert spark.conf.get(keys[0], None) == old[0]
+        session.scale_shuffles(spark, 400 * session.SOURCE_BYTES)
+        assert int(spark.conf.get(keys[0])) == 401 and spark.conf.get(keys[1]).startswith(str(session.MERGED_BYTES))
+    finally:
+        for k, v in zip(keys, old):
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
