@@ -65,6 +65,21 @@ def test_neighbor_ranks(spark):
     assert rows(S.top_neighbors(as_baskets(spark, baskets)), "product_id", "neighbor_product_id", "rank") == sorted(want)
 
 
+@pytest.mark.parametrize("hot", [S.HOT_ORDERS, 1])
+def test_neighbors_of_lists_equal_those_of_pairs(spark, hot, monkeypatch):
+    """Lists in place of pairs: the same neighbors, also of hot products and of baskets that repeat a product, without a join or a table of pairs."""
+    monkeypatch.setattr(S, "HOT_ORDERS", hot)
+    rng = random.Random(5)
+    lines = [(o, p) for o in range(300) for p in rng.choices(range(40), k=rng.randint(1, 8))] + [(1, None), (2, None)]
+    baskets = spark.createDataFrame(lines, "order_id long, product_id long")
+    columns = ("product_id", "neighbor_product_id", "rank", "score")
+    packed = S.top_neighbors(baskets, largest=9)
+    assert rows(packed, *columns) == rows(S.top_neighbors(baskets), *columns)
+    support = spark.createDataFrame(S.product_support(baskets).collect(), "product_id long, n_orders long")
+    plan = S._top_of_lists(baskets, support, 10)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == (1 if hot > 1 else 2)
+
+
 def test_pair_similarity_equals_literal_expansion(spark):
     rng = random.Random(6)
     history = [(u, p) for u in range(12) for p in rng.sample(range(40), 14)]
