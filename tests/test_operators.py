@@ -93,6 +93,17 @@ def test_pair_similarity_equals_literal_expansion(spark):
         assert got[u, p] == pytest.approx(want)
 
 
+def test_neighbors_that_are_no_candidates_are_not_moved(spark):
+    """Every candidate has its mark; few others do, so that few of the reached products are shuffled."""
+    pairs = spark.range(3000).select((F.col("id") % 100).alias("user_id"), (F.col("id") * 7919 % 5003 - 9).alias("product_id"))
+    word, bit = S._word_and_bit("product_id")
+    marks = S.candidate_marks(pairs)
+    hit = F.get("marks", word).bitwiseAND(bit) != 0
+    assert pairs.join(marks, "user_id").where(~hit).isEmpty()
+    others = spark.range(10_000, 20_000).withColumnRenamed("id", "product_id").crossJoin(marks)
+    assert others.where(hit).count() < 0.2 * others.count()
+
+
 def test_more_than_ten_edges_use_the_best_ten(spark):
     h = spark.createDataFrame([(1, p) for p in range(13)], "user_id long, product_id long")
     e = spark.createDataFrame([(p, 0, p / 20) for p in range(1, 13)], "product_id long, neighbor_product_id long, score double")
