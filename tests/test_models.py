@@ -356,3 +356,24 @@ def test_factor_fit_drops_the_shuffles_of_past_iterations(spark):
         L.fit_factors(pairs, params)
         kept[params.checkpoint_every] = tracker.shuffleStatuses().size() - before
     assert kept[1] <= kept[10] - 7
+
+
+def test_medians_stop_when_all_values_in_reach_are_equal(spark, monkeypatch):
+    """Whole numbers and shares are known after a pass or two, and later passes look at open columns only."""
+    passes, count = [], Q.digit_counts
+    monkeypatch.setattr(Q, "digit_counts", lambda df, known, digit: passes.append(sorted(known)) or count(df, known, digit))
+    table = spark.range(2001).select((F.col("id") % 20).cast("double").alias("small"), (F.col("id") / 7).alias("share"), (1 + F.col("id") * F.lit(2.0**-50)).alias("close"))
+    assert Q.exact_medians(table, ["small", "share", "close"]) == {"small": 9.0, "share": 1000 / 7, "close": 1 + 1000 * 2.0**-50}
+    assert passes[0] == ["close", "share", "small"] and "small" not in passes[1] and passes[2:] == [["close"], ["close"]]
+
+
+def test_preprocessing_fills_missing_values_and_nan(spark):
+    rng = np.random.default_rng(6)
+    v = np.r_[rng.lognormal(0, 1.5, 400), [np.nan] * 50]
+    table = spark.createDataFrame(pd.DataFrame({"k": range(450), "v": v, "w": np.r_[rng.normal(3, 2, 400), [0.0] * 50]}))
+    table = table.select("v", F.when(F.col("k") < 400, F.col("w")).alias("w"), F.lit(None).cast("double").alias("none"))
+    prep = Q.fit_preprocessing(table, ["v", "w", "none"], unlogged=[])
+    filled = Q.scales(table.na.fill(dict(zip(prep.columns, prep.median))), prep.columns).collect()
+    for r in filled:
+        at = prep.columns.index(r.column_name)
+        assert (prep.mean[at], prep.scale[at]) == pytest.approx((r["mean"], r["scale"]))
