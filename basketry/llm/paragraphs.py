@@ -175,26 +175,36 @@ def repeated(docs: DataFrame) -> DataFrame:
 
 
 def spans(rows: pd.DataFrame, min_words: int) -> Iterator[tuple[int, int, int, int, int, object]]:
-    """``(number of the row, start, end, words, first group, keeper)`` of what goes, places in bytes of the text."""
-    found = Paragraphs([t.encode() for t in rows["text"]])
-    begin = np.searchsorted(found.text, np.arange(len(rows)))
-    for k, (at, groups, keepers) in enumerate(zip(rows["at"], rows["groups"], rows["keepers"], strict=True)):
-        if at is None or not len(at):
-            continue
-        at = np.asarray(at, np.int64)
-        for run in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) != 1) + 1):
-            a, b = begin[k] + at[run[0]], begin[k] + at[run[-1]]
-            words = int(found.size[a : b + 1].sum())
-            if words >= min_words:
-                start = int(found.first[found.start[a]] - found.places[k])
-                end = int(found.last[found.start[b] + found.size[b] - 1] - found.places[k])
-                # The keeper named is the one that holds most of the span, and enough of it to be a passage.
-                by_keeper: dict[int, int] = {}
-                for g in run.tolist():
-                    if keepers[g] != LAST:
-                        by_keeper[keepers[g]] = by_keeper.get(keepers[g], 0) + int(found.size[begin[k] + at[g]])
-                keeper = max(by_keeper, key=lambda d: (by_keeper[d], -d)) if by_keeper else None
-                yield k, start, end, words, groups[run[0]], keeper if keeper is not None and by_keeper[keeper] >= min_words else None
+    """``(number of the row, start, end, words, first group, keeper)`` of what goes, places in bytes of the text. Only rows with
+    places are looked at, ``PORTION`` bytes of text together."""
+    at_of, groups_of, keepers_of, texts = (rows[c].to_numpy() for c in ("at", "groups", "keepers", "text"))
+    held = [k for k, at in enumerate(at_of) if at is not None and len(at)]
+    for part in chunks([len(texts[k].encode()) for k in held], PORTION):
+        own = held[part]
+        found = Paragraphs([texts[k].encode() for k in own])
+        begin = np.searchsorted(found.text, np.arange(len(own)))
+        for i, k in enumerate(own):
+            at, groups, keepers = np.asarray(at_of[k], np.int64), groups_of[k], keepers_of[k]
+            for run in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) != 1) + 1):
+                a, b = begin[i] + at[run[0]], begin[i] + at[run[-1]]
+                words = int(found.size[a : b + 1].sum())
+                if words >= min_words:
+                    start = int(found.first[found.start[a]] - found.places[i])
+                    end = int(found.last[found.start[b] + found.size[b] - 1] - found.places[i])
+                    # The keeper named is the one that holds most of the span, and enough of it to be a passage.
+                    by_keeper: dict[int, int] = {}
+                    for g in run.tolist():
+                        if keepers[g] != LAST:
+                            by_keeper[keepers[g]] = by_keeper.get(keepers[g], 0) + int(found.size[begin[i] + at[g]])
+                    keeper = max(by_keeper, key=lambda d: (by_keeper[d], -d)) if by_keeper else None
+                    yield k, start, end, words, groups[run[0]], keeper if keeper is not None and by_keeper[keeper] >= min_words else None
+
+
+def without(text: str, places: list[tuple[int, int]]) -> str:
+    """``text`` without the spans ``(start, end)`` of its bytes, which come in order."""
+    raw = text.encode()
+    starts, ends = [0, *[end for _, end in places]], [*[start for start, _ in places], len(raw)]
+    return b"".join(raw[a:b] for a, b in zip(starts, ends, strict=True)).decode()
 
 
 def with_repeats(docs: DataFrame) -> DataFrame:
@@ -225,13 +235,10 @@ def dedup_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     @F.pandas_udf("string")
     def cut(text: pd.Series, at: pd.Series, groups: pd.Series, keepers: pd.Series) -> pd.Series:
         rows = pd.DataFrame({"text": text.to_numpy(), "at": at.to_numpy(), "groups": groups.to_numpy(), "keepers": keepers.to_numpy()})
-        raw = [t.encode() for t in rows["text"]]
-        left: dict[int, list[bytes]] = {}
-        ends: dict[int, int] = {}
+        gone: dict[int, list[tuple[int, int]]] = {}
         for k, start, end, *_ in spans(rows, min_words):
-            left.setdefault(k, []).append(raw[k][ends.get(k, 0) : start])
-            ends[k] = end
-        return pd.Series([b"".join([*left[k], raw[k][ends[k] :]]).decode() if k in left else t for k, t in enumerate(rows["text"])])
+            gone.setdefault(k, []).append((start, end))
+        return pd.Series([without(t, gone[k]) if k in gone else t for k, t in enumerate(rows["text"])])
 
     rows = with_repeats(docs)
     text = F.when(F.col("_at").isNotNull(), cut(F.coalesce(F.col("text").cast("string"), F.lit("")), "_at", "_groups", "_keepers")).otherwise(F.col("text"))

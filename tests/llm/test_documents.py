@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
@@ -251,6 +252,23 @@ def test_passages(hard):
     assert left[10] == text[10].replace(cut[10], "")
 
 
+def test_spans_look_at_a_portion_of_the_texts_at_once(monkeypatch):
+    """A batch may hold 10,000 rows: their texts are not hashed in one piece, and those without places not at all."""
+    text = words(5, 60)
+    many = 3 * paragraphs.PORTION // len(text)
+    found = paragraphs.Paragraphs([text.encode()])
+    at = np.arange(len(found.start))
+    places = [at if k % 2 else None for k in range(2 * many)]
+    rows = pd.DataFrame({"text": [text if k % 2 else "no places" for k in range(2 * many)], "at": places, "groups": places, "keepers": places})
+    seen = []
+    monkeypatch.setattr(paragraphs, "Paragraphs", lambda texts, kind=paragraphs.Paragraphs: seen.append(texts) or kind(texts))
+    spans = list(paragraphs.spans(rows, paragraphs.MIN_WORDS))
+    assert [s[:4] for s in spans] == [(k, 0, len(text), 60) for k in range(1, 2 * many, 2)]
+    assert max(sum(map(len, texts)) for texts in seen) < paragraphs.PORTION + len(text)
+    assert all(t != b"no places" for texts in seen for t in texts)
+    assert paragraphs.without("aß bc dß e", [(0, 3), (7, 10)]) == " bc  e"
+
+
 def test_paragraphs_depend_on_nearby_words_alone():
     passage = words(4, 200)
     alone = paragraphs.Paragraphs([passage.encode()])
