@@ -17,6 +17,7 @@ from tokenizers import Tokenizer
 from basketry.llm import bpe, context_tree, licenses, lines, packing, paragraphs, parity, toxicity
 from basketry.llm.components import settled
 from basketry.llm.tokens import WordTokenizer
+from basketry.session import materialize
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -161,6 +162,25 @@ def test_parity_join_on_a_group_of_near_copies(spark):
     assert got == label
 
 
+def test_parity_join_does_not_shuffle_texts_it_does_not_want(spark, hard, monkeypatch):
+    plans = []
+
+    def noted(df, label="table", *args, **kwargs):
+        if label == "parity-texts":
+            plans.append(df._jdf.queryExecution().toString())
+        return materialize(df, label, *args, **kwargs)
+
+    monkeypatch.setattr(parity, "materialize", noted)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        parity.join_documents(hard).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    # Texts are read in buckets by row, so that only names and rows are shuffled to them.
+    assert plans and all("Bucketed: true" in p for p in plans)
+
+
 def test_sketch_distance_is_a_lower_bound():
     draw = np.random.default_rng(1)
     for _ in range(20):
