@@ -1,5 +1,7 @@
 """Learned models: against numpy, and for the properties they must have."""
 
+import time
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -13,7 +15,9 @@ from basketry.operators import metrics as M
 from basketry.operators import preprocess as Q
 from basketry.operators import qda as D
 from basketry.operators import ranker as K
-from basketry.session import scratch_path
+from basketry.plans import QUERIES
+from basketry.plans import scoring as S
+from basketry.session import materialize, scratch_path
 from basketry.sources import tables as T
 
 IDS = ["user_id", "order_id", "product_id"]
@@ -377,3 +381,26 @@ def test_preprocessing_fills_missing_values_and_nan(spark):
     for r in filled:
         at = prep.columns.index(r.column_name)
         assert (prep.mean[at], prep.scale[at]) == pytest.approx((r["mean"], r["scale"]))
+
+
+def test_mean_attributions_of_trees_are_those_of_the_steps(table, ranker):
+    """The same draws give the same means as scoring step by step, for rows with missing values as well."""
+    rows = table.limit(150).withColumn("b", F.when(F.col("product_id") > 0, F.col("b")))
+    trees = ranker.trees[: ranker.best_round]
+    want = A.mean_absolute(A.sampled_attributions(rows, table, ranker.features, IDS, ranker.score, permutations=3, n_background=20)).toPandas()
+    got = A.mean_absolute_of_trees(rows, table, ranker.features, IDS, trees, ranker.learning_rate, permutations=3, n_background=20).toPandas()
+    assert got["feature"].tolist() == want["feature"].tolist()
+    np.testing.assert_allclose(got["mean_abs_attribution"], want["mean_abs_attribution"], atol=1e-12)
+
+
+def test_mean_attribution_query_looks_at_all_validation_rows(spark, table, ranker, tmp_path, monkeypatch):
+    """The number of rows that are explained one by one does not cut the means."""
+    monkeypatch.setattr(S, "EXPLAINED", 5)
+    for name, value in (("_ranker", ranker), ("_classified", table), ("_validation", table)):
+        monkeypatch.setattr(S, name, lambda *_, value=value: value)
+    want = A.mean_absolute(A.sampled_attributions(table, table, ranker.features, IDS, ranker.score, permutations=4, n_background=S.BACKGROUND)).toPandas()
+    S._explain.cache_clear()
+    got = QUERIES["k07_mean_absolute_attribution"](spark, str(tmp_path)).toPandas()
+    S._explain.cache_clear()
+    assert got["feature"].tolist() == want["feature"].tolist()
+    np.testing.assert_allclose(got["mean_abs_attribution"], want["mean_abs_attribution"], atol=1e-6)
