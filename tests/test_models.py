@@ -404,3 +404,32 @@ def test_mean_attribution_query_looks_at_all_validation_rows(spark, table, ranke
     S._explain.cache_clear()
     assert got["feature"].tolist() == want["feature"].tolist()
     np.testing.assert_allclose(got["mean_abs_attribution"], want["mean_abs_attribution"], atol=1e-6)
+
+
+def test_platt_targets(spark):
+    """The line is that of a logistic regression on Platt's targets, not on 0 and 1."""
+    rng = np.random.default_rng(3)
+    z = rng.normal(0, 2, 40)
+    y = (rng.random(40) < 1 / (1 + np.exp(-z))).astype(float)
+    target = np.where(y == 1, (y.sum() + 1) / (y.sum() + 2), 1 / (40 - y.sum() + 2))
+    x, w = np.c_[z, np.ones(40)], np.zeros(2)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ w))
+        w += np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x, x.T @ (target - p))
+    rows = spark.createDataFrame(pd.DataFrame({"z": z, "y": y})).unionByName(spark.sql("SELECT CAST(NULL AS DOUBLE) AS z, 1.0D AS y UNION ALL SELECT 1.0D, NULL"))
+    assert B.platt_line(rows, "z", "y") == pytest.approx(tuple(w), abs=1e-4)
+
+
+@pytest.mark.parametrize(("column", "broken"), [("isotonic", "isotonic_rises"), ("platt", "platt_inside"), (None, None)])
+def test_recalibration_properties_see_falls_anywhere(spark, tmp_path, monkeypatch, column, broken):
+    """A map that falls between scores that lie far apart, or has no value, breaks its property."""
+    p = np.linspace(0.05, 0.95, 19)
+    rows = pd.DataFrame({"user_id": range(19), "order_id": range(19), "product_id": range(19), "label": 0.0, "qda_p_score": p, "qda_logit": np.log(p / (1 - p)), "platt": p / 2, "isotonic": p / 3})
+    if column:
+        rows.loc[9, column] = 0.9
+    df = spark.createDataFrame(rows)
+    monkeypatch.setattr(S, "_recalibrated", lambda i: df)
+    monkeypatch.setattr(S, "_classified", lambda i, split: df)
+    got = {r.property: (r.n, r.n_wrong) for r in QUERIES["x08_recalibration_properties"](spark, str(tmp_path)).collect()}
+    for name in ("platt_inside", "isotonic_rises"):
+        assert got[name] == (19, 9 if name == broken else 0)
