@@ -383,6 +383,28 @@ def test_preprocessing_fills_missing_values_and_nan(spark):
         assert (prep.mean[at], prep.scale[at]) == pytest.approx((r["mean"], r["scale"]))
 
 
+def test_shuffle_files_go_with_the_write(spark):
+    """What a write shuffled is gone from the disk when the table is there, also while the table that led to it is still known."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    names = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(manager.getAllFiles()) if f.getName().startswith("shuffle_")}
+    before = names()
+    df = spark.range(20_000).repartition(3, "id").groupBy((F.col("id") % 5000).alias("k")).agg(F.count("*").alias("n"))
+    first, second = materialize(df, "once"), materialize(df, "twice")
+    left = names() - before
+    for _ in range(50):  # Files are removed in the background.
+        if not left:
+            break
+        time.sleep(0.2)
+        left = names() - before
+    assert not left and first.count() == second.count() == 5000
+
+
+def test_factor_properties_move_no_cells(spark, data):
+    """Dot products are summed within a row; vectors are not taken apart into a row per cell."""
+    plan = QUERIES["m04_m05_factor_properties"](spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode(factors" not in plan
+
+
 def test_mean_attributions_of_trees_are_those_of_the_steps(table, ranker):
     """The same draws give the same means as scoring step by step, for rows with missing values as well."""
     rows = table.limit(150).withColumn("b", F.when(F.col("product_id") > 0, F.col("b")))
