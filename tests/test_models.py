@@ -399,6 +399,24 @@ def test_shuffle_files_go_with_the_write(spark):
     assert not left and first.count() == second.count() == 5000
 
 
+def test_factor_blocks_grow_with_what_they_hold():
+    """Small tables keep the asked number of blocks; larger ones get as many as keep the vectors and the ratings of a block in bounds."""
+    assert L.blocks_needed(500_000, 10_000, 64, 10) == L.blocks_needed(31_000_000, 600_000, 64, 10) - 1 == 10
+    n, users, rows = L.blocks_needed(187_000_000, 3_600_000, 64, 10), 3_600_000, 187_000_000
+    met = lambda blocks: users * (1 - (1 - 1 / blocks) ** (rows / users)) * 280
+    assert met(n) <= L.BLOCK_BYTES < met(n - 1) < met(10) and rows / n < L.BLOCK_ROWS
+    assert L.blocks_needed(0, 0, 64, 10) == 10
+
+
+def test_wide_fit_takes_more_blocks_where_needed(spark, monkeypatch):
+    asked, fit = [], L.fit_factors
+    monkeypatch.setattr(L, "BLOCK_ROWS", 5)
+    monkeypatch.setattr(L, "fit_factors", lambda df, params, blocks: asked.append(blocks) or fit(df, params, blocks))
+    pairs = spark.range(20).select((F.col("id") % 10).alias("user_id"), (F.col("id") % 4).alias("product_id"), F.lit(1.0).alias("count"))
+    users, products = L.fit_wide_factors(pairs, L.FactorParams(rank=2, iterations=1, blocks=2))
+    assert asked == [(4, 4)] and (users.count(), products.count()) == (10, 4)
+
+
 def test_factor_properties_move_no_cells(spark, data):
     """Dot products are summed within a row; vectors are not taken apart into a row per cell."""
     plan = QUERIES["m04_m05_factor_properties"](spark, data)._jdf.queryExecution().optimizedPlan().toString()
