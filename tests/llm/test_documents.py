@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 from basketry.llm import bpe, context_tree, licenses, lines, packing, paragraphs, parity, toxicity
 from basketry.llm.components import settled
 from basketry.llm.tokens import WordTokenizer
-from basketry.session import materialize
+from basketry.session import materialize, path_exists
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -431,3 +431,37 @@ def test_runs_of_letters_are_words_without_a_split():
     texts = ["Plain words, éa ßtraße ŉn ªb Ⱥx don't x9 naïve 12 ǅ", "I'LL i'll we've ºc ʼn ABC"]
     assert tokenizer.encode(texts) == tokenizer._tokenized(texts)
     assert "plain" not in seen and "naïve" not in seen and "don't" in seen and "x9" in seen
+
+
+def test_pairs_are_verified_in_passes(spark, monkeypatch):
+    """With many more copies than texts, passes look at a part of the groups each, and find the links that one pass finds."""
+    rng = np.random.default_rng(12)
+    base = [f"w{k}" for k in range(60)]
+    texts = [(k, " ".join(f"x{k}" if at in rng.choice(60, k % 5, replace=False) else w for at, w in enumerate(base))) for k in range(30)]
+    df = spark.createDataFrame(texts, "name long, text string")
+    pairs = spark.createDataFrame([(a, b) for a in range(30) for b in range(a)], "a long, b long")
+    found, written = {}, []
+    for name, chars in (("one", 1 << 30), ("several", 2_000)):
+        monkeypatch.setattr(parity, "VERIFY_CHARS", 2_000)
+        monkeypatch.setattr(parity, "PASS_CHARS", chars)
+        monkeypatch.setattr(parity, "materialize", lambda df, label="table", *a, **k: written.append((name, label)) or materialize(df, label, *a, **k))
+        found[name] = sorted(map(tuple, parity.verified(pairs, df).collect()))
+    assert found["one"] == found["several"] and 0 < len(found["one"]) < 435
+    assert written.count(("one", "parity-found")) == 1 < written.count(("several", "parity-found"))
+
+
+def test_line_dedup_leaves_nothing_it_does_not_need(spark, hard, monkeypatch, tmp_path):
+    """Keys of one line are not written, and of what was written on the way only the groups stay."""
+    paths = {}
+
+    def noted(df, label="table", *args, **kwargs):
+        out = materialize(df, label, *args, **kwargs)
+        paths.setdefault(label, []).append(out.scratch)
+        if label == "line-runs":
+            assert out.where("n < 2").isEmpty() and not out.isEmpty()
+        return out
+
+    monkeypatch.setattr(lines, "materialize", noted)
+    got = lines.dedup_lines(hard)
+    assert got.count() == hard.count() and "line-keys" not in paths
+    assert {label for label, all_of in paths.items() for p in all_of if path_exists(spark, p)} == {"line-groups"}
